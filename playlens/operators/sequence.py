@@ -111,11 +111,19 @@ class GroupMin(Running):
         return carried
 
 
+def chunk(df: DataFrame, order: str, width: int = CHUNK_WIDTH) -> DataFrame:
+    return df.withColumn(CHUNK, F.floor(F.col(order) / width))
+
+
 def with_running(
     df: DataFrame, keys: list[str], order: str, state: dict[str, Running], width: int = CHUNK_WIDTH
 ) -> DataFrame:
-    """Add one column per entry of ``state``; ``order`` is a whole number, unique in a key."""
-    chunked = df.withColumn(CHUNK, F.floor(F.col(order) / width))
+    """Add one column per entry of ``state``; ``order`` is a whole number, unique in a key.
+
+    A frame that already has the chunk column (see ``chunk``) keeps it, so that a second
+    pass finds its rows placed and shuffles nothing but the small carry.
+    """
+    chunked = df if CHUNK in df.columns else chunk(df, order, width)
     window = Window.partitionBy(*keys, CHUNK).orderBy(order)
     earlier = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
 

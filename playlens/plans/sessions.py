@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalar import ellipsis, first_match, or_default, upper_or
-from ..operators.sequence import CHUNK_WIDTH, GroupMin, LastValue, RunningMax, RunningSum, with_running
+from ..operators.sequence import CHUNK_WIDTH, GroupMin, LastValue, RunningMax, RunningSum, chunk, with_running
 from .alerts import row_total
 
 SESSION = ["playbackSessionId"]
@@ -112,7 +112,7 @@ def buffer_timeline(signals: DataFrame, width: int = CHUNK_WIDTH) -> DataFrame:
         }.items()
     }
     seen["_opened_at"] = LastValue(F.when(_is("BUFFER_START"), F.col("event_timestamp")), inclusive=False)
-    rows = with_running(signals, SESSION, SEQ, seen, width)
+    rows = with_running(chunk(signals, SEQ, width), SESSION, SEQ, seen)
 
     never = F.lit(-1)
     seeking = F.col("_seeking") > F.coalesce(F.col("_seeked"), never)
@@ -130,7 +130,7 @@ def buffer_timeline(signals: DataFrame, width: int = CHUNK_WIDTH) -> DataFrame:
         "stallCount": RunningSum((F.coalesce(F.col("_start_type"), F.lit("")) == "STALL").cast("int")),
         "startupStallCount": RunningSum((F.coalesce(F.col("_start_type"), F.lit("")) == "STARTUP").cast("int")),
     }
-    rows = with_running(rows, SESSION, SEQ, totals, width)
+    rows = with_running(rows, SESSION, SEQ, totals)
     kind = F.when(_is("BUFFER_START") | F.col("durationMs").isNotNull(), F.col("_interval_type"))
     return rows.select(*signals.columns, kind.alias("bufferType"), "durationMs", *list(totals)[1:])
 
@@ -202,7 +202,7 @@ def quality_switches(signals: DataFrame, width: int = CHUNK_WIDTH) -> DataFrame:
         "_asked": RunningMax(_seq_of("QUALITY_SWITCH_START"), inclusive=False),
         "_changed": RunningMax(_seq_of("QUALITY_CHANGE"), inclusive=False),
     }
-    rows = with_running(signals, SESSION, SEQ, seen, width)
+    rows = with_running(chunk(signals, SEQ, width), SESSION, SEQ, seen)
     is_open = F.coalesce(F.col("_asked") > F.coalesce(F.col("_changed"), F.lit(-1)), F.lit(False))
     rows = rows.withColumns(
         {
@@ -218,7 +218,7 @@ def quality_switches(signals: DataFrame, width: int = CHUNK_WIDTH) -> DataFrame:
         "fromResolution": before("resolution", F.col("_baseline")),
         "_dropped_before": before("droppedFrames", _is("QUALITY_CHANGE")),
     }
-    rows = with_running(rows, SESSION, SEQ, state, width)
+    rows = with_running(rows, SESSION, SEQ, state)
     took = F.when(F.col("_open"), F.col("event_timestamp") - F.col("_opened_at"))
     dropped = F.col("droppedFrames") - F.coalesce(F.col("_dropped_before"), F.lit(0))
     return rows.filter(_is("QUALITY_CHANGE")).select(
