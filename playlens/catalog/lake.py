@@ -33,7 +33,7 @@ class Lake:
 
     @property
     def events(self) -> DataFrame:
-        return adapter.read_table(self.spark, self.folder, "events")
+        return adapter.spread(adapter.read_table(self.spark, self.folder, "events"), "ts")
 
     def _store(self, name: str, write: Callable[[str], None]) -> DataFrame:
         path = f"{self.root}/{name}"

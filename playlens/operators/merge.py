@@ -11,6 +11,11 @@ from .dedupe import has_duplicates
 from .medallion import gold_viewer_qos
 
 
+#: Folder level of tables that streams append to, and the value merged rows carry.
+BATCH = "ingest_batch"
+MERGED_BATCH = -1
+
+
 def match_counts(target: DataFrame, source: DataFrame, keys: list[str] = schemas.SILVER_KEY) -> DataFrame:
     """Rows an upsert would update and insert."""
     known = target.select(*keys, F.lit(True).alias("_known")).distinct()
@@ -21,20 +26,24 @@ def match_counts(target: DataFrame, source: DataFrame, keys: list[str] = schemas
     )
 
 
-def upsert(target: DataFrame, source: DataFrame, keys: list[str] = schemas.SILVER_KEY) -> DataFrame:
+def upsert(
+    target: DataFrame, source: DataFrame, keys: list[str] = schemas.SILVER_KEY, keep: tuple[str, ...] = ()
+) -> DataFrame:
     """Target after "update what matches, insert what does not".
 
     Keys compare with plain equality, so a NULL key never matches and is inserted.  Every
     target row with a matching key takes the source's values, duplicates included.  Both
     joins preserve the large side, which AQE can split when a key is hot.  ``source`` must
-    have one row per key; ``merge_table`` checks that.
+    have one row per key; ``merge_table`` checks that.  Columns in ``keep`` stay as they are
+    in rows that match.
     """
-    values = [c for c in target.columns if c not in keys]
+    fixed = {*keys, *keep}
+    values = [c for c in target.columns if c not in fixed]
     incoming = source.select(*keys, F.struct(*values).alias("_new"))
     matched = F.col("_new").isNotNull()
     updated = target.join(incoming, keys, "left").select(
         *[
-            F.col(c) if c in keys else F.when(matched, F.col(f"_new.{c}")).otherwise(F.col(c)).alias(c)
+            F.col(c) if c in fixed else F.when(matched, F.col(f"_new.{c}")).otherwise(F.col(c)).alias(c)
             for c in target.columns
         ]
     )
@@ -99,14 +108,22 @@ def replace_partitions(
 def merge_table(
     spark: SparkSession, path: str, source: DataFrame, staging: str, keys: list[str] = schemas.SILVER_KEY
 ) -> dict[str, int]:
-    """Upsert into a table partitioned by eventDate, rewriting only the source's dates."""
+    """Upsert into a table partitioned by eventDate, rewriting only the source's dates.
+
+    In a table that streams append to, rows stay in their batch folder and new rows get one
+    of their own.  An upsert removes no row, so every folder it reads is written again.
+    """
     if has_duplicates(source, keys):
         raise ValueError("source has several rows for one key")
     target = spark.read.parquet(path)
     current = on_dates(target, affected(source))
     counts = match_counts(current, source, keys).first().asDict()
-    merged = upsert(current, source, keys).select(*target.columns)
-    counts["rows_out"] = replace_partitions(spark, merged, path, ["eventDate"], staging)
+    layout, keep = ["eventDate"], ()
+    if BATCH in target.columns:
+        layout, keep = ["eventDate", BATCH], (BATCH,)
+        source = source.withColumn(BATCH, F.lit(MERGED_BATCH).cast(target.schema[BATCH].dataType))
+    merged = upsert(current, source, keys, keep).select(*target.columns)
+    counts["rows_out"] = replace_partitions(spark, merged, path, layout, staging)
     return counts
 
 

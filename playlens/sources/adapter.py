@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.frames import settle
+
 LEVELS = ["360p", "720p", "1080p"]
 
 
@@ -17,15 +19,13 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def settle(df: DataFrame, columns: dict[str, Column], keep: list[str]) -> DataFrame:
-    """Evaluate derived columns once per row.
+def spread(df: DataFrame, order: str) -> DataFrame:
+    """Split an input of too few files by time, so that every core gets a share.
 
-    A one-element ``inline`` is a generator, and predicates on generated columns stay above
-    it.  Without it the optimizer copies the derivations into every pushed-down predicate,
-    parses the JSON again for each and outgrows the size limit of generated code.
+    Inputs that already have at least as many scan tasks as there are cores pass through.
     """
-    row = F.struct(*[column.alias(name) for name, column in columns.items()])
-    return df.select(*keep, F.inline(F.array(row)))
+    wanted = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartitionByRange(wanted, order) if df.rdd.getNumPartitions() < wanted else df
 
 
 def _every(n: int) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
+from ..functions.frames import settle
 
 _CORRUPT = "_corrupt_body"
 _ENVELOPE = f"events ARRAY<{schemas.PLAYBACK_EVENT.simpleString()}>, {_CORRUPT} STRING"
@@ -21,17 +22,20 @@ def stream_bodies(spark: SparkSession, path: str) -> DataFrame:
 
 
 def parse_bodies(bodies: DataFrame) -> DataFrame:
-    """Typed envelope, a flag for bodies that are no JSON, and the batch size (0 if absent).
+    """Typed events, a flag for bodies that cannot be read, and the batch size (0 if absent).
 
-    A member of the wrong type becomes NULL without spoiling its neighbours.  Whether the
-    body is JSON at all is asked separately, because such a member also marks the record.
+    A member of the wrong type becomes NULL without spoiling its neighbours; it also marks
+    the record as corrupt, so a body counts as rejected only if its events are lost as well.
+    The body is parsed once.
     """
     parsed = F.from_json("body", _ENVELOPE, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
-    return bodies.withColumn("_parsed", parsed).select(
+    once = settle(bodies, {"_parsed": parsed}, keep=bodies.columns)
+    events = F.col("_parsed.events")
+    return once.select(
         *bodies.columns,
-        F.col("_parsed.events").alias("events"),
-        F.expr("try_parse_json(body) IS NULL").alias("is_rejected"),
-        F.coalesce(F.size("_parsed.events"), F.lit(0)).alias("batch_size"),
+        events.alias("events"),
+        (F.col("body").isNull() | (events.isNull() & F.col(f"_parsed.{_CORRUPT}").isNotNull())).alias("is_rejected"),
+        F.coalesce(F.size(events), F.lit(0)).alias("batch_size"),
     )
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas
+from ..functions.frames import settle
 
 
 def read_reports(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFrame:
@@ -90,7 +91,7 @@ def rescue(df: DataFrame, json_column: str, hinted: T.StructType, rescued: str =
     rescued column as a JSON object; a record that is no JSON object is kept there whole.
     """
     members = F.from_json(json_column, "MAP<STRING, STRING>")
-    taken = df.select("*", members.alias("_members"))
+    taken = settle(df, {"_members": members}, keep=df.columns)
 
     def typed(field: T.StructField):
         text = F.col("_members")[field.name]
