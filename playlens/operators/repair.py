@@ -214,6 +214,10 @@ def clean_up(
         raise ValueError(f"mode must be one of {CLEANUP_MODES}")
     if mode == "none" or not confirm:
         return False
+    # The keys may come from the table that is about to change, so they are written first.
+    keys_path = f"{quarantine_path}.done"
+    done.select(*schemas.SILVER_KEY).distinct().write.mode("overwrite").parquet(keys_path)
+    done = spark.read.parquet(keys_path)
     rows = spark.read.parquet(quarantine_path)
     if mode == "mark_processed":
         names = ["processed_id", "processed_timestamp"]
@@ -238,6 +242,7 @@ def clean_up(
                 raise RuntimeError("archive is incomplete; quarantine left as it was")
         left = left.select(*rows.columns)
     tables.replace_table(spark, left, quarantine_path, tables.QUARANTINE_PARTITIONS)
+    files.delete(spark, keys_path)
     return True
 
 

@@ -12,13 +12,13 @@ _CORRUPT = "_corrupt_body"
 _ENVELOPE = f"events ARRAY<{schemas.PLAYBACK_EVENT.simpleString()}>, {_CORRUPT} STRING"
 
 
-def read_bodies(spark: SparkSession, path: str) -> DataFrame:
-    """One body per file, read whole."""
-    return spark.read.option("wholetext", True).text(path).withColumnRenamed("value", "body")
+def read_bodies(spark: SparkSession, path: str, whole_files: bool = True) -> DataFrame:
+    """One body per file, or one per line where a collector appends many to a file."""
+    return spark.read.text(path, wholetext=whole_files).withColumnRenamed("value", "body")
 
 
-def stream_bodies(spark: SparkSession, path: str) -> DataFrame:
-    return spark.readStream.option("wholetext", True).text(path).withColumnRenamed("value", "body")
+def stream_bodies(spark: SparkSession, path: str, whole_files: bool = True) -> DataFrame:
+    return spark.readStream.text(path, wholetext=whole_files).withColumnRenamed("value", "body")
 
 
 def parse_bodies(bodies: DataFrame) -> DataFrame:
