@@ -56,7 +56,10 @@ class Lake:
         stamp = F.timestamp_millis(F.lit(AS_OF_MS))
         rows = medallion.quarantine(self.bronze, stamp)
         return self._store(
-            "quarantine", lambda path: tables.write_partitioned(rows, path, tables.QUARANTINE_PARTITIONS)
+            "quarantine",
+            lambda path: tables.write_partitioned(
+                tables.packed(rows, tables.QUARANTINE_PARTITIONS), path, tables.QUARANTINE_PARTITIONS
+            ),
         )
 
     @cached_property

@@ -83,7 +83,7 @@ def delete_reprocessed(quarantine: DataFrame, reason: str, fixed: DataFrame) ->
 
 
 def replace_partitions(
-    spark: SparkSession, rows: DataFrame, path: str, partitions: list[str], staging: str
+    spark: SparkSession, rows: DataFrame, path: str, partitions: list[str], staging: str, pack: bool = True
 ) -> int:
     """Replace the partitions present in ``rows``; ``rows`` may read the same table.
 
@@ -93,7 +93,7 @@ def replace_partitions(
     """
     if files.exists(spark, staging):
         files.delete(spark, staging)
-    tables.write_partitioned(rows, staging, partitions)
+    tables.write_partitioned(tables.packed(rows, partitions) if pack else rows, staging, partitions)
     staged = spark.read.schema(rows.schema).parquet(staging)
     expected = tables.row_count(staged)
     tables.write_partitioned(staged, path, partitions)

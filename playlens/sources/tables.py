@@ -24,6 +24,15 @@ def write_partitioned(df: DataFrame, path: str, partitions: list[str], mode: str
     df.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(path)
 
 
+def packed(df: DataFrame, partitions: list[str]) -> DataFrame:
+    """Gather the rows of a partition before writing, so that it gets few, full files.
+
+    A rebalance is not a plain repartition: AQE merges small partitions and cuts one that
+    holds a large share of the rows into several tasks.
+    """
+    return df.hint("rebalance", *[F.col(name) for name in partitions])
+
+
 def clustered(df: DataFrame, keys: list[str], spread: list[str] | None = None) -> DataFrame:
     """Range-partition and sort by the layout keys, so that file statistics prune.
 
