@@ -90,29 +90,47 @@ def null_counts(silver: DataFrame, columns: list[str] = schemas.REQUIRED_SILVER)
     return totals.select(F.inline(lines))
 
 
+# Each check is a set of facts (aggregates over one table) and a line (columns over the
+# facts), so that checks of one table can share a scan; see ``all_checks``.
+
+
+def _null_facts(columns: list[str] = schemas.REQUIRED_SILVER) -> list[Column]:
+    nulls = sum((F.col(c).isNull().cast("bigint") for c in columns), F.lit(0))
+    return [row_total("silver_rows"), F.coalesce(F.sum(nulls), F.lit(0)).alias("nulls")]
+
+
+def _null_line() -> list[Column]:
+    nulls, rows = F.col("nulls"), F.col("silver_rows")
+    message = F.concat(nulls.cast("string"), F.lit(" nulls in "), rows.cast("string"), F.lit(" rows"))
+    return _line("NOT NULL Constraints Validation", "Data Quality", verdict(nulls > 0, rows == 0), message, nulls)
+
+
 def not_null(silver: DataFrame, columns: list[str] = schemas.REQUIRED_SILVER) -> DataFrame:
-    totals = silver.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns], row_total("_rows"))
-    nulls = sum((F.col(c) for c in columns), F.lit(0))
-    status = verdict(nulls > 0, F.col("_rows") == 0)
-    message = F.concat(nulls.cast("string"), F.lit(" nulls in "), F.col("_rows").cast("string"), F.lit(" rows"))
-    return totals.select(*_line("NOT NULL Constraints Validation", "Data Quality", status, message, nulls))
+    return silver.agg(*_null_facts(columns)).select(*_null_line())
 
 
-def value_ranges(silver: DataFrame) -> DataFrame:
-    found = silver.agg(
-        row_total("_rows"),
-        F.count_if(F.col("buffering_count") < 0).alias("count"),
-        F.count_if(F.col("buffering_time_ms") < 0).alias("time"),
-        F.count_if((F.col("total_source_data") < 0) | (F.col("total_p2p_data") < 0)).alias("data"),
-        F.count_if(F.col("quality_level").isNull()).alias("level"),
-        F.count_if(F.col("buffering_time_sec") > 3600).alias("long"),
-    )
-    broken = F.col("count") + F.col("time") + F.col("data") + F.col("level")
-    status = verdict(broken > 0, (F.col("long") > 0) | (F.col("_rows") == 0))
+def _range_facts() -> list[Column]:
+    broken = {
+        "bad_count": F.col("buffering_count") < 0,
+        "bad_time": F.col("buffering_time_ms") < 0,
+        "bad_data": (F.col("total_source_data") < 0) | (F.col("total_p2p_data") < 0),
+        "bad_level": F.col("quality_level").isNull(),
+        "over_an_hour": F.col("buffering_time_sec") > 3600,
+    }
+    return [row_total("silver_rows"), *[F.count_if(test).alias(name) for name, test in broken.items()]]
+
+
+def _range_line() -> list[Column]:
+    broken = F.col("bad_count") + F.col("bad_time") + F.col("bad_data") + F.col("bad_level")
+    status = verdict(broken > 0, (F.col("over_an_hour") > 0) | (F.col("silver_rows") == 0))
     message = F.concat(
-        broken.cast("string"), F.lit(" violations, "), F.col("long").cast("string"), F.lit(" rows over one hour")
+        broken.cast("string"), F.lit(" violations, "), F.col("over_an_hour").cast("string"), F.lit(" rows over one hour")
     )
-    return found.select(*_line("Value Range Validation", "Data Quality", status, message, broken))
+    return _line("Value Range Validation", "Data Quality", status, message, broken)
+
+
+def value_ranges(silver: DataFrame) -> DataFrame:
+    return silver.agg(*_range_facts()).select(*_range_line())
 
 
 def shared_customers(bronze: DataFrame, silver: DataFrame) -> DataFrame:
@@ -120,17 +138,23 @@ def shared_customers(bronze: DataFrame, silver: DataFrame) -> DataFrame:
     return bronze.select("customerId").intersect(silver.select("customerId"))
 
 
+def _flow_line() -> list[Column]:
+    b, s, shared = F.col("bronze_rows"), F.col("silver_rows"), F.col("shared")
+    status = verdict((b > 0) & ((s < b) | (shared == 0)), b == 0)
+    message = F.concat(
+        b.cast("string"), F.lit(" -> "), s.cast("string"), F.lit(" rows, "), shared.cast("string"), F.lit(" shared customers")
+    )
+    ratio = s.cast("double") / F.nullif(b.cast("double"), F.lit(0.0))
+    return _line("Bronze to Silver Data Flow", "Data Flow", status, message, ratio)
+
+
 def bronze_to_silver(bronze: DataFrame, silver: DataFrame) -> DataFrame:
     counts = side_by_side(
-        bronze.agg(row_total("b")),
-        silver.agg(row_total("s")),
+        bronze.agg(row_total("bronze_rows")),
+        silver.agg(row_total("silver_rows")),
         shared_customers(bronze, silver).agg(row_total("shared")),
     )
-    b, s, shared = F.col("b"), F.col("s"), F.col("shared")
-    status = verdict((b > 0) & ((s < b) | (shared == 0)), b == 0)
-    message = F.concat_ws(" ", b.cast("string"), F.lit("->"), s.cast("string"), F.lit("rows,"), shared.cast("string"), F.lit("shared customers"))
-    ratio = s.cast("double") / F.nullif(b.cast("double"), F.lit(0.0))
-    return counts.select(*_line("Bronze to Silver Data Flow", "Data Flow", status, message, ratio))
+    return counts.select(*_flow_line())
 
 
 def quarantine_reasons(quarantine: DataFrame, limit: int = 5) -> DataFrame:
@@ -145,31 +169,46 @@ def quarantine_logic(quarantine: DataFrame) -> DataFrame:
     name, category = "Quarantine Logic Validation", "Data Quality"
     if missing:
         return _fixed(quarantine.sparkSession, name, category, "FAIL", f"missing {missing}")
-    found = quarantine.agg(
-        row_total("n"),
+    return quarantine.agg(*_fault_facts()).select(*_fault_line())
+
+
+def _fault_facts() -> list[Column]:
+    unfounded = ~F.coalesce(is_faulty(), F.lit(False)) | F.col("quarantine_reason").isNull()
+    return [
+        row_total("faults"),
         F.count_distinct("quarantine_reason").alias("reasons"),
-        F.count_if(~F.coalesce(is_faulty(), F.lit(False)) | F.col("quarantine_reason").isNull()).alias("unfounded"),
-    )
-    message = F.concat_ws(
-        " ", F.col("n").cast("string"), F.lit("records with"), F.col("reasons").cast("string"), F.lit("reasons")
-    )
-    return found.select(*_line(name, category, verdict(F.col("unfounded") > 0), message, F.col("n")))
+        F.count_if(unfounded).alias("unfounded"),
+    ]
 
 
-def gold_is_smaller(silver: DataFrame, gold: DataFrame) -> DataFrame:
-    counts = side_by_side(silver.agg(row_total("s")), gold.agg(row_total("g")))
-    s, g = F.col("s"), F.col("g")
+def _fault_line() -> list[Column]:
+    faults = F.col("faults")
+    message = F.concat(faults.cast("string"), F.lit(" records with "), F.col("reasons").cast("string"), F.lit(" reasons"))
+    return _line("Quarantine Logic Validation", "Data Quality", verdict(F.col("unfounded") > 0), message, faults)
+
+
+def _gold_line() -> list[Column]:
+    s, g = F.col("silver_rows"), F.col("gold_rows")
     status = verdict((s > 0) & ((g == 0) | (g >= s)), s == 0)
-    message = F.concat_ws(" ", s.cast("string"), F.lit("->"), g.cast("string"), F.lit("rows"))
-    return counts.select(*_line("Gold Layer Aggregation Validation", "Data Flow", status, message, g))
+    message = F.concat(s.cast("string"), F.lit(" -> "), g.cast("string"), F.lit(" rows"))
+    return _line("Gold Layer Aggregation Validation", "Data Flow", status, message, g)
 
 
-def freshness(bronze: DataFrame, as_of_ts: str, max_hours: float = 24) -> DataFrame:
-    last = bronze.agg(F.max("timestampInfo.server").alias("ms"))
-    age = hours_since("ms", as_of_ts)
-    status = verdict(F.col("ms").isNull(), age > max_hours)
+def gold_is_smaller(silver: DataFrame, gold: DataFrame) -> DataFrame:
+    counts = side_by_side(silver.agg(row_total("silver_rows")), gold.agg(row_total("gold_rows")))
+    return counts.select(*_gold_line())
+
+
+def _age_line(as_of_ts: str, max_hours: float = 24) -> list[Column]:
+    age = hours_since("last_ms", as_of_ts)
+    status = verdict(F.col("last_ms").isNull(), age > max_hours)
     message = F.concat(F.lit("Data is "), F.round(age, 1).cast("string"), F.lit(" hours old"))
-    return last.select(*_line("Data Freshness Check", "Pipeline Health", status, message, age))
+    return _line("Data Freshness Check", "Pipeline Health", status, message, age)
+
+
+def freshness(bronze: DataFrame, as_of_ts: str, max_hours: float = 24) -> DataFrame:
+    last = bronze.agg(F.max("timestampInfo.server").alias("last_ms"))
+    return last.select(*_age_line(as_of_ts, max_hours))
 
 
 def count_time(silver: DataFrame, warn: float = 10, fail: float = 30) -> DataFrame:
@@ -240,16 +279,19 @@ def summary_by_category(results: DataFrame) -> DataFrame:
 def all_checks(
     bronze: DataFrame, silver: DataFrame, quarantine: DataFrame, gold: DataFrame, as_of_ts: str
 ) -> DataFrame:
-    """The checks that are plain aggregates, as one lazy frame."""
+    """The checks that are plain aggregates, as one lazy frame with one scan per table and purpose."""
+    facts = side_by_side(
+        silver.agg(*_null_facts(), *_range_facts()[1:]),
+        bronze.agg(row_total("bronze_rows"), F.max("timestampInfo.server").alias("last_ms")),
+        quarantine.agg(*_fault_facts()),
+        gold.agg(row_total("gold_rows")),
+        shared_customers(bronze, silver).agg(row_total("shared")),
+    )
+    lines = [_null_line(), _range_line(), _flow_line(), _fault_line(), _gold_line(), _age_line(as_of_ts)]
     return stack(
         bronze_schema(bronze),
         silver_schema(silver),
-        not_null(silver),
-        value_ranges(silver),
-        bronze_to_silver(bronze, silver),
-        quarantine_logic(quarantine),
-        gold_is_smaller(silver, gold),
-        freshness(bronze, as_of_ts),
+        facts.select(F.inline(F.array(*[F.struct(*line) for line in lines]))),
         aggregation_accuracy(silver, gold),
         no_duplicates(silver),
     )
