@@ -109,7 +109,7 @@ def compact(spark: SparkSession, path: str, staging: str, target_bytes: int = 12
     slot = F.pmod(F.xxhash64("_file", "_row"), F.col("_files"))
     dealt = placed.join(wanted, "eventDate").withColumn("_slot", slot)
     packed = dealt.repartition(int(total), "eventDate", "_slot").select(*rows.columns)
-    replace_partitions(spark, packed, path, ["eventDate"], staging, pack=False)
+    replace_partitions(spark, packed, path, tables.layout(rows, ["eventDate"]), staging, pack=False)
 
 
 # --- run log ----------------------------------------------------------------------------

@@ -7,15 +7,11 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..sources import files, tables
+from ..sources.tables import BATCH, MERGED_BATCH
 from .dedupe import has_duplicates
 from .medallion import gold_viewer_qos
 
 
-#: Folder level of tables that streams append to, and the value merged rows carry.
-BATCH = "ingest_batch"
-MERGED_BATCH = -1
-
-
 def match_counts(target: DataFrame, source: DataFrame, keys: list[str] = schemas.SILVER_KEY) -> DataFrame:
     """Rows an upsert would update and insert."""
     known = target.select(*keys, F.lit(True).alias("_known")).distinct()
@@ -118,12 +114,14 @@ def merge_table(
     target = spark.read.parquet(path)
     current = on_dates(target, affected(source))
     counts = match_counts(current, source, keys).first().asDict()
-    layout, keep = ["eventDate"], ()
+    keep = ()
     if BATCH in target.columns:
-        layout, keep = ["eventDate", BATCH], (BATCH,)
+        keep = (BATCH,)
         source = source.withColumn(BATCH, F.lit(MERGED_BATCH).cast(target.schema[BATCH].dataType))
     merged = upsert(current, source, keys, keep).select(*target.columns)
-    counts["rows_out"] = replace_partitions(spark, merged, path, layout, staging)
+    counts["rows_out"] = replace_partitions(
+        spark, merged, path, tables.layout(merged, ["eventDate"]), staging
+    )
     return counts
 
 

@@ -219,11 +219,12 @@ def clean_up(
     done.select(*schemas.SILVER_KEY).distinct().write.mode("overwrite").parquet(keys_path)
     done = spark.read.parquet(keys_path)
     rows = spark.read.parquet(quarantine_path)
+    layout = tables.layout(rows, tables.QUARANTINE_PARTITIONS)
     if mode == "mark_processed":
         names = ["processed_id", "processed_timestamp"]
         if not set(names) <= set(rows.columns):
             rows = rows.withColumns({names[0]: F.lit(None).cast("string"), names[1]: F.lit(None).cast("timestamp")})
-            tables.write_partitioned(rows, f"{quarantine_path}.marked", tables.QUARANTINE_PARTITIONS)
+            tables.write_partitioned(rows, f"{quarantine_path}.marked", layout)
             files.delete(spark, quarantine_path)
             files.rename(spark, f"{quarantine_path}.marked", quarantine_path)
             rows = spark.read.parquet(quarantine_path)
@@ -241,7 +242,7 @@ def clean_up(
             if tables.row_count(spark.read.parquet(archive_path)) != before + moving:
                 raise RuntimeError("archive is incomplete; quarantine left as it was")
         left = left.select(*rows.columns)
-    tables.replace_table(spark, left, quarantine_path, tables.QUARANTINE_PARTITIONS)
+    tables.replace_table(spark, left, quarantine_path, layout)
     files.delete(spark, keys_path)
     return True
 
@@ -259,5 +260,5 @@ def dedupe_silver(spark: SparkSession, silver_path: str, backup: str | None, con
         if backup:
             tables.backup_table(silver, backup)
         kept = keep_one(silver, schemas.SILVER_KEY).select(*silver.columns)
-        tables.replace_table(spark, kept, silver_path, ["eventDate"])
+        tables.replace_table(spark, kept, silver_path, tables.layout(kept, ["eventDate"]))
     return report

@@ -18,6 +18,15 @@ CLUSTER_KEYS = {
 }
 QUARANTINE_PARTITIONS = ["eventDate", "quarantine_reason"]
 
+#: Folder level of tables that streams append to, and the value merged rows carry.
+BATCH = "ingest_batch"
+MERGED_BATCH = -1
+
+
+def layout(df: DataFrame, usual: list[str]) -> list[str]:
+    """Partition columns of a stored table: streamed ones have a folder per batch."""
+    return ["eventDate", BATCH] if BATCH in df.columns else usual
+
 
 def write_partitioned(df: DataFrame, path: str, partitions: list[str], mode: str = "overwrite") -> None:
     """Hive-style partitions.  Overwrite is dynamic: only partitions present in ``df``."""

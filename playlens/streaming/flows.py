@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import maintenance, medallion, merge
-from ..operators.merge import BATCH
 from ..sources import files, tables
+from ..sources.tables import BATCH
 
 
 def append_flow(df: DataFrame, path: str, checkpoint: str, partitions: list[str]) -> StreamingQuery:

@@ -81,8 +81,6 @@ def test_batch_read_with_added_column(spark, tmp_path):
     older = fx.bronze(spark, fx.report()).drop("eventDate", "_rescued_data")
     older.write.parquet(f"{path}/{day}/a")
     older.withColumn("cdn", F.lit("edge")).write.parquet(f"{path}/{day}/b")
-    nested = spark.read.option("recursiveFileLookup", False)
-    assert nested is not None
     fixed = landing.read_reports(spark, f"{path}/{day}/a")
     assert fixed.columns == schemas.BRONZE.names
     wide = landing.align(spark.read.option("mergeSchema", True).parquet(f"{path}/{day}/a", f"{path}/{day}/b"), schemas.BRONZE)

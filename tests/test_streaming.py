@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import fixtures as fx
 from playlens import schemas
-from playlens.operators import maintenance, medallion, merge
+from playlens.operators import maintenance, medallion, merge, repair
 from playlens.plans import sessions
 from playlens.sources import landing, tables
 from playlens.streaming import flows, session_state
@@ -44,6 +44,16 @@ def test_streams_equal_batch_and_restart_adds_nothing(spark, landing_path, tmp_p
     assert spark.read.parquet(quarantine).count() == 1
     run()
     assert spark.read.parquet(silver).count() == 2
+    # A full refresh is a run with a new checkpoint into an empty folder.
+    again = str(tmp_path / "again")
+    flows.finish(flows.silver_flow(landing.stream_reports(spark, landing_path), again, str(tmp_path / "c3")))
+    assert contents(spark.read.parquet(again)) == contents(spark.read.parquet(silver))
+    # Stored bronze can be streamed as well as landed files.
+    stored = tables.stream_stored(spark, landing_path, schemas.BRONZE)
+    flows.finish(flows.quarantine_flow(stored, str(tmp_path / "q2"), str(tmp_path / "c4")))
+    assert contents(spark.read.parquet(str(tmp_path / "q2")).drop("quarantine_timestamp")) == contents(
+        spark.read.parquet(quarantine).drop("quarantine_timestamp")
+    )
     land(spark, landing_path, fx.report(client="late", day=D1))
     run()
     assert contents(spark.read.parquet(silver)) == contents(medallion.silver_enriched(landing.read_reports(spark, landing_path)))
@@ -86,6 +96,16 @@ def test_routed_flow_refreshes_gold_for_late_dates(spark, landing_path, tmp_path
     assert merge.merge_table(spark, paths["silver"], source, paths["staging"])["rows_updated"] == 1
     assert spark.read.parquet(paths["silver"]).count() == before + 1
 
+    # So do compaction and clean-up of streamed tables.
+    stored = contents(spark.read.parquet(paths["silver"]))
+    maintenance.compact(spark, paths["silver"], paths["staging"])
+    assert contents(spark.read.parquet(paths["silver"])) == stored
+    faults = spark.read.parquet(paths["quarantine"])
+    done = repair.merge_source(faults)
+    assert done.count() == 1
+    assert repair.clean_up(spark, paths["quarantine"], done, "mark_processed", True, batch_id=F.lit("b"))
+    assert spark.read.parquet(paths["quarantine"]).filter("processed_id = 'b'").count() == 1
+
 
 def test_session_state_equals_batch(spark, tmp_path):
     marks = [
