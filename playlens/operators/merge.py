@@ -128,6 +128,13 @@ def merge_table(
 def refresh_gold_table(
     spark: SparkSession, gold_path: str, silver_path: str, dates: DataFrame, staging: str, distinct: str = "approx"
 ) -> int:
-    """Recompute gold for the given dates only and overwrite those partitions."""
-    fresh = gold_viewer_qos(on_dates(spark.read.parquet(silver_path), dates), distinct)
-    return replace_partitions(spark, fresh, gold_path, ["eventDate"], staging)
+    """Recompute gold for the given dates only and overwrite those partitions.
+
+    A date that has no silver rows any more loses its gold partition.
+    """
+    silver = spark.read.parquet(silver_path)
+    fresh = gold_viewer_qos(on_dates(silver, dates), distinct)
+    rows = replace_partitions(spark, fresh, gold_path, ["eventDate"], staging)
+    for gone in dates.join(affected(silver), "eventDate", "left_anti").toLocalIterator():
+        files.delete(spark, f"{gold_path}/eventDate={gone.eventDate}")
+    return rows

@@ -63,6 +63,15 @@ def test_refresh_of_affected_dates_equals_full_recompute(spark, silver_path, tmp
     assert contents(spark.read.parquet(gold_path)) == contents(full)
 
 
+def test_refresh_drops_dates_without_silver(spark, silver_path, tmp_path):
+    gold_path, staging = str(tmp_path / "gold"), str(tmp_path / "staging")
+    tables.write_partitioned(medallion.gold_viewer_qos(spark.read.parquet(silver_path)), gold_path, ["eventDate"])
+    dates = merge.affected(spark.createDataFrame([(D1,)], "eventDate date"))
+    files.delete(spark, f"{silver_path}/eventDate=2024-01-01")
+    assert merge.refresh_gold_table(spark, gold_path, silver_path, dates, staging) == 0
+    assert {r.eventDate for r in spark.read.parquet(gold_path).collect()} == {D2}
+
+
 def test_keep_one_takes_the_latest(spark):
     rows = [fx.silver_row(agent=a, content=c) for a, c in ((None, "x"), (5, "y"), (9, "z"), (9, "w"))]
     kept = dedupe.keep_one(fx.silver(spark, *rows), schemas.SILVER_KEY).collect()
