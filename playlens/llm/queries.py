@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, token_counts, token_files
+from . import bpe, fingerprints, near_dups, token_counts, token_files
 from .common import scratch_path
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -32,7 +32,15 @@ def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.length_histogram(lengths, ["source"])
 
 
+def op5_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.near_edits(_table(spark, folder, "documents"))
+
+
+def op10_near_dups(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dups.classes(_table(spark, folder, "documents")).select("doc_id", "class_id", "class_size", "n_texts")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_token_files, op6_bpe, op9_token_counts)
+    f.__name__: f for f in (op3_token_files, op5_fingerprints, op6_bpe, op9_token_counts, op10_near_dups)
 }
 ORACLES: dict[str, str] = {}
