@@ -95,12 +95,12 @@ def _with_totals(df: DataFrame, key: str, values: list[str], ties: list[str], by
     return here.join(above, same).select(*df.columns, *sums)
 
 
-def slices(texts: pa.Array, limit: int) -> Iterator[tuple[int, int]]:
-    """Cuts a batch into runs of at most 20,000 rows and about ``limit`` bytes; one long row is a run of its own."""
+def slices(texts: pa.Array, limit: int, rows: int = 20_000) -> Iterator[tuple[int, int]]:
+    """Cuts a batch into runs of at most ``rows`` rows and about ``limit`` bytes; one long row is a run of its own."""
     sizes = pc.fill_null(pc.binary_length(texts), 0).to_pylist()
     start = total = 0
     for i, size in enumerate(sizes):
-        if i > start and (total + size > limit or i - start == 20_000):
+        if i > start and (total + size > limit or i - start == rows):
             yield start, i
             start, total = i, 0
         total += size

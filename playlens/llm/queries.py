@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, fingerprints, near_dups, token_counts, token_files
+from . import bpe, fingerprints, language_id, near_dups, token_counts, token_files, topk
 from .common import scratch_path
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -36,11 +36,35 @@ def op5_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.near_edits(_table(spark, folder, "documents"))
 
 
+def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    found = language_id.predict(docs.select("doc_id", "text"), language_id.learn(docs))
+    return found.select("doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score", "rejected")
+
+
+def op8_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return topk.top_k(_table(spark, folder, "embeddings"), k=20, every=20)
+
+
 def op10_near_dups(spark: SparkSession, folder: str) -> DataFrame:
     return near_dups.classes(_table(spark, folder, "documents")).select("doc_id", "class_id", "class_size", "n_texts")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_token_files, op5_fingerprints, op6_bpe, op9_token_counts, op10_near_dups)
+    f.__name__: f for f in (op3_token_files, op5_fingerprints, op6_bpe, op7_language_id, op8_top_k, op9_token_counts, op10_near_dups)
+}
+ORACLES: dict[str, str] = {
+    "op8_top_k": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS a FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), s AS (
+            SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.a, c.a)::BIGINT AS score
+            FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % 20 = 0
+        ), r AS (
+            SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank, vec_id, score FROM s
+        )
+        SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+    """,
 }
-ORACLES: dict[str, str] = {}
