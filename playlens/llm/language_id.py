@@ -37,6 +37,7 @@ LOG_SIZE = 11
 TAIL, SLACK = 0.002, 0.25
 SLICE_BYTES, SLICE_ROWS = 1 << 20, 1_000
 UNKNOWN = "und"
+PREDICTED = ("lang_pred", "score", "rejected")
 
 _LETTERS = np.arange(256, dtype=np.uint8)
 _LETTERS[[b for b in range(128) if not chr(b).isalpha()]] = 32
@@ -145,9 +146,11 @@ def learn(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model | None:
 
 
 def predict(docs: DataFrame, model: Model | None) -> DataFrame:
-    """All columns of ``docs`` and ``lang_pred``, ``score``, ``rejected``; from the text alone."""
+    """The columns of ``docs`` and ``lang_pred``, ``score``, ``rejected``, which replace columns
+    of the same names; predicted from the text alone."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    text, lettered = fresh([*docs.columns, "lang_pred", "score", "rejected"], "_text", "_lettered")
+    text, lettered, guessed = fresh(docs.columns, "_text", "_lettered", "_guessed")
+    kept = [F.col(c) for c in docs.columns if c.lower() not in PREDICTED]
     rows = docs.withColumn(text, F.col("text").cast("string"))
     rows = rows.withColumn(lettered, F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)))
 
@@ -166,4 +169,4 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
             "lang_pred": np.where(lettered, names, UNKNOWN), "score": np.where(lettered, scores, 0.0), "rejected": odd | ~lettered,
         })
 
-    return rows.withColumn(lettered, guess(text, lettered)).drop(text).select(*docs.columns, f"{lettered}.*")
+    return rows.withColumn(guessed, guess(text, lettered)).select(*kept, f"{guessed}.*")

@@ -83,7 +83,8 @@ def without_lines(text: Column, covered: Column) -> Column:
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
-    """All columns of ``docs`` with the repeated lines taken out of ``text``, and ``n_removed``."""
+    """All columns of ``docs`` with the repeated lines taken out of ``text``, and ``n_removed``,
+    which replaces a column of that name."""
     own_id, own_key, covered = fresh([*docs.columns, "n_removed"], "_id", "_key", "_covered")
     found = repeats(docs).toDF(own_id, own_key, covered)
     (key,) = fresh([*docs.columns, own_id, own_key, covered], "_text_key")
@@ -92,6 +93,6 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     rows = rows.join(found, same, "left")
     text = F.when(F.col(covered).isNull(), F.col("text")).otherwise(without_lines(F.col("text"), F.col(covered)))
     return rows.select(
-        *[text.alias(c) if c == "text" else F.col(c) for c in docs.columns],
+        *[text.alias(c) if c == "text" else F.col(c) for c in docs.columns if c.lower() != "n_removed"],
         F.coalesce(F.size(covered), F.lit(0)).cast("long").alias("n_removed"),
     )
