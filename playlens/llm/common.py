@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -17,6 +20,23 @@ from playlens.session import checkpoint_root
 NO_ID = -(2**63)
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send the package to the executors, once per application: their Python need not have it
+    installed or on its path."""
+    if spark.sparkContext.applicationId in _SHIPPED:
+        return
+    _SHIPPED.add(spark.sparkContext.applicationId)
+    package = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp(prefix="playlens-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    spark.sparkContext.addPyFile(str(archive))
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new folder name below the shared checkpoint folder."""
     return f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import SparkSession
 
-from .common import slices
+from .common import ship, slices
 from .presplit import Presplitter
 
 #: Words a worker remembers as used lately; as many older ones are kept beside them.
@@ -95,6 +95,7 @@ def tokenizers_encoder(spec: str) -> TextEncoder:
 def shared_spec(spark: SparkSession, path: str):
     """The tokenizer file, read on the driver and sent to each executor once (a vocabulary
     has a fixed size, about 1.5 MB)."""
+    ship(spark)
     return spark.sparkContext.broadcast(Path(path).read_text(encoding="utf-8"))
 
 

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import NO_ID, slices
+from .common import NO_ID, ship, slices
 from .shingles import HASH_BITS, distinct, shingles
 
 FRACTION = 0.125
@@ -67,6 +67,7 @@ def fingerprints(docs: DataFrame, fraction: float = FRACTION) -> DataFrame:
                 found, _ = sketch(batch.column("text")[a:b], fraction)
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id")[a:b], pa.array(found)], schema=schema)
 
+    ship(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return rows.mapInArrow(run, "doc_id long, fingerprint string")
 
@@ -82,6 +83,7 @@ def with_next(docs: DataFrame) -> DataFrame:
     id are ordered by text; a missing id counts as the smallest.
     """
     spark = docs.sparkSession
+    ship(spark)
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), key.alias("key"),

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import fresh, slices
+from .common import fresh, ship, slices
 
 SAMPLE_ROWS = 4_000
 CENTROIDS = 3
@@ -118,6 +118,7 @@ def held_out(column: str = "doc_id"):
 
 def learn(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model | None:
     """Fit on a bounded sample of the rows with a language that are not held out."""
+    ship(docs.sparkSession)
     rows = docs.filter(F.col("lang").isNotNull() & ~held_out())
     rows = rows.select(F.col("lang").cast("string").alias("lang"), F.xxhash64("doc_id").alias("h"), F.col("text").cast("string").alias("text"))
     total = rows.agg(F.countDistinct("lang")).first()[0]
@@ -148,6 +149,7 @@ def learn(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model | None:
 def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     """The columns of ``docs`` and ``lang_pred``, ``score``, ``rejected``, which replace columns
     of the same names; predicted from the text alone."""
+    ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     text, lettered, guessed = fresh(docs.columns, "_text", "_lettered", "_guessed")
     kept = [F.col(c) for c in docs.columns if c.lower() not in PREDICTED]

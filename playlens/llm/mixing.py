@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import fresh, written
+from .common import fresh, ship, written
 
 #: Weights by the order of the sources, repeating; times of its size a source gives at most.
 WEIGHTS, MOST = (5, 2, 1), 3
@@ -132,6 +132,7 @@ def choices(
 ) -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``key`` (of the text), ``source``, ``size``,
     ``source_size``, ``target`` (its source's) and ``times``, how often the mix takes it."""
+    ship(docs.sparkSession)
     text = F.col("text").cast("string")
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("key"), F.col("source").cast("string").alias("source"),

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import written
+from .common import ship, written
 
 BLOCK_ROWS = 16_384
 CHUNK_QUERIES = 512
@@ -135,6 +135,7 @@ def top_k(
     block_rows: int = BLOCK_ROWS, chunk_queries: int = CHUNK_QUERIES,
 ) -> DataFrame:
     """``query_id``, ``rank``, ``vec_id``, ``score``: the k best rows for each id divisible by ``every``."""
+    ship(df.sparkSession)
     rows = written(usable(df, id_column, vector_column), "vectors")
     is_query = F.col("vec_id") % every == 0
     n, asked, dims = rows.agg(
