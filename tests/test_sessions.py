@@ -42,6 +42,28 @@ def test_running_state_equals_plain_windows(spark, width):
     assert sorted(map(repr, actual.collect())) == sorted(map(repr, expected.collect()))
 
 
+def test_nulls_ties_and_sparse_values_lose_nothing(spark):
+    rows = [("a", None, 1), ("a", 5, 2), ("a", 5, 3), (None, 1, 4), (None, 2**47, 5), ("a", -(2**40), 6), ("a", 5, 2)]
+    df = spark.createDataFrame(rows, "key string, seq long, n long")
+    state = {"total": RunningSum(F.col("n")), "last": LastValue(F.col("n"), inclusive=False), "low": GroupMin(F.col("n"))}
+    expected = [
+        ("a", None, 1, 1, None, 1), ("a", -(2**40), 6, 7, 1, 1), ("a", 5, 2, 9, 6, 1), ("a", 5, 2, 11, 2, 1),
+        ("a", 5, 3, 14, 2, 1), (None, 1, 4, 4, None, 4), (None, 2**47, 5, 9, 4, 4),
+    ]
+    for width in (1, 7, 1 << 16):
+        for frame in (df, df.repartition(5, "n")):
+            found = with_running(frame, ["key"], "seq", state, width)
+            assert sorted(map(repr, map(tuple, found.collect()))) == sorted(map(repr, expected))
+
+
+def test_carry_of_a_sparse_session_is_cut_as_well(spark):
+    """Ids far apart make a chunk per row; their carry is windowed in wider chunks."""
+    df = spark.range(0, 3000).selectExpr("'s' AS key", "id * 100000 AS seq", "1 AS n")
+    found = with_running(df, ["key"], "seq", {"total": RunningSum(F.col("n"))})
+    assert found.filter("total != seq div 100000 + 1").count() == 0
+    assert "_chunk_" in found._jdf.queryExecution().optimizedPlan().toString()
+
+
 def intervals(df, width=1000):
     found = sessions.buffer_intervals(sessions.buffer_timeline(df, width)).orderBy("sequenceNumber")
     return [(r.type, r.start_ts, r.durationMs) for r in found.collect()]
