@@ -247,7 +247,7 @@ def _(lk):
 
 @query("f13_in_subquery")
 def _(lk):
-    return merge.on_dates(lk.silver, merge.affected(fixes(lk))).groupBy("eventDate").agg(row_total("row_count"))
+    return merge.on_dates(lk.silver, merge.dates_of(fixes(lk))).groupBy("eventDate").agg(row_total("row_count"))
 
 
 @query("f14_having")
@@ -580,7 +580,7 @@ def _(lk):
 
 @query("m01_upsert")
 def _(lk):
-    return merge.upsert(lk.silver, fixes(lk)).select(*schemas.SILVER.names)
+    return merge.upsert_by_date(lk.silver, fixes(lk)).select(*schemas.SILVER.names)
 
 
 @query("m02_fix_negative_values")
@@ -647,8 +647,9 @@ def _(lk):
 @query("t06_refresh_affected_dates")
 def _(lk):
     source = fixes(lk)
-    after = merge.upsert(lk.silver, source)
-    return merge.refresh_gold(lk.gold, after, merge.affected(source), "exact").select(*schemas.GOLD.names)
+    dates = merge.dates_of(source)
+    after = merge.upsert(merge.on_dates(lk.silver, dates), source)  # gold needs the other dates no more
+    return merge.refresh_gold(lk.gold, after, dates, "exact").select(*schemas.GOLD.names)
 
 
 @query("t07_reconciliation")

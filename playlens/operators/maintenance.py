@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions.scalar import GB, MB, days_before, first_match
 from ..sources import files, tables
+from ..sources.tables import BATCH, MERGED_BATCH
 
 # Days kept per layer.
 RETENTION_DAYS = {"bronze": 90, "silver": 90, "quarantine": 180, "gold": 365}
@@ -87,36 +90,66 @@ def storage_growth(snapshots: DataFrame, limit_gb_per_day: float = 100.0) -> Dat
     )
 
 
-def compact(spark: SparkSession, path: str, staging: str, target_bytes: int = 128 * 1024 * 1024) -> None:
-    """Rewrite a date-partitioned table with about ``target_bytes`` per file.
+def needs_compaction(spark: SparkSession, path: str, target_bytes: int) -> dict[date, int]:
+    """Dates with more files than their bytes ask for, and how many files they should have.
+    From the file listing alone; one entry per date."""
+    day = F.regexp_extract("path", "eventDate=([^/]+)", 1).cast("date")
+    wanted = F.greatest(F.ceil(F.sum("length") / target_bytes), F.lit(1)).cast("int")
+    listed = files.data_files(spark, path).groupBy(day.alias("day")).agg(wanted.alias("n"), F.count(F.lit(1)).alias("now"))
+    return {r.day: r.n for r in listed.filter("now > n and day is not null").collect()}
 
-    Each date gets as many files as its bytes ask for.  Rows are dealt to them by file and
-    row position, so equal rows do not pile up in one file and a retried task deals alike.
-    """
-    from .merge import replace_partitions
 
-    rows = spark.read.parquet(path)
-    placed = rows.select(
-        "*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row")
-    )
-    day = F.regexp_extract("path", "eventDate=([^/]+)", 1).cast("date")
-    wanted = (
-        files.data_files(spark, path)
-        .groupBy(day.alias("eventDate"))
-        .agg(F.greatest(F.ceil(F.sum("length") / target_bytes), F.lit(1)).alias("_files"))
-    )
-    total = wanted.agg(F.sum("_files")).first()[0] or 1
-    slot = F.pmod(F.xxhash64("_file", "_row"), F.col("_files"))
-    dealt = placed.join(wanted, "eventDate").withColumn("_slot", slot)
-    packed = dealt.repartition(int(total), "eventDate", "_slot").select(*rows.columns)
-    replace_partitions(spark, packed, path, tables.layout(rows, ["eventDate"]), staging, pack=False)
+def compact(
+    spark: SparkSession, path: str, staging: str, target_bytes: int = 128 * 1024 * 1024, dates_at_once: int = 30
+) -> list[date]:
+    """Give each date of a partitioned table about ``target_bytes`` per file; returns the dates rewritten.
+
+    Only dates with too many files are read, some dates at a time, so a run is a row of bounded
+    jobs.  In a table that streams append to, the batch folders of a date are closed and become
+    one folder.  Rows are dealt to files by file and row position, so equal rows do not pile up
+    in one file and a retried task deals alike.  A crash leaves each date whole, in place or
+    aside, and the next run begins by putting such dates back.
+    """
+    from .merge import on_dates, replace_partitions
+
+    tables.recover_folders(spark, path)
+    if files.exists(spark, staging):
+        files.delete(spark, staging)
+    wanted = needs_compaction(spark, path, target_bytes)
+    days = sorted(wanted)
+    for k in range(0, len(days), dates_at_once):
+        some = days[k : k + dates_at_once]
+        rows = spark.read.parquet(path)
+        placed = on_dates(rows, some).select(
+            "*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row")
+        )
+        files_of = F.create_map(*[part for d in some for part in (F.lit(d), F.lit(wanted[d]))])
+        slot = F.pmod(F.xxhash64("_file", "_row"), files_of[F.col("eventDate")])
+        dealt = placed.withColumn("_slot", slot).repartition(sum(wanted[d] for d in some), "eventDate", "_slot")
+        packed = dealt.select(*rows.columns)
+        if BATCH not in rows.columns:
+            replace_partitions(spark, packed, path, ["eventDate"], staging, pack=False)
+            continue
+        packed = packed.withColumn(BATCH, F.lit(MERGED_BATCH).cast(rows.schema[BATCH].dataType))
+        tables.write_partitioned(packed, staging, ["eventDate", BATCH])
+        if tables.row_count(spark.read.parquet(staging)) != tables.row_count(on_dates(rows, some)):
+            raise RuntimeError(f"{staging} lacks rows; {path} is as it was")
+        for d in some:
+            tables.swap_folder(spark, f"{staging}/eventDate={d}", path, f"eventDate={d}")
+        files.delete(spark, staging)
+    return days
 
 
 # --- run log ----------------------------------------------------------------------------
 
 
 def log_run(spark: SparkSession, path: str, **entry) -> None:
-    """Append one entry; fields that are not given are NULL."""
+    """Append one entry; fields that are not given are NULL.  A write of a layer's version that
+    is in the log already, as after a replayed micro-batch, is not logged again."""
+    if entry.get("version") is not None and files.exists(spark, path):
+        same = (F.col("layer").eqNullSafe(entry.get("layer"))) & (F.col("version") == entry["version"])
+        if not log_table(spark, path).filter(same & F.col("operation").eqNullSafe(entry.get("operation"))).isEmpty():
+            return
     row = tuple(entry.get(name) for name in schemas.RUN_LOG.names)
     spark.createDataFrame([row], schemas.RUN_LOG).coalesce(1).write.mode("append").parquet(path)
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,11 +16,12 @@ from .medallion import gold_viewer_qos
 
 def match_counts(target: DataFrame, source: DataFrame, keys: list[str] = schemas.SILVER_KEY) -> DataFrame:
     """Rows an upsert would update and insert."""
-    known = target.select(*keys, F.lit(True).alias("_known")).distinct()
-    flagged = source.join(known, keys, "left")
-    return flagged.agg(
-        F.count_if(F.col("_known").isNotNull()).alias("rows_updated"),
-        F.count_if(F.col("_known").isNull()).alias("rows_inserted"),
+    from .combine import side_by_side
+
+    known = target.select(*keys)
+    return side_by_side(
+        source.join(known, keys, "left_semi").agg(F.count(F.lit(1)).alias("rows_updated")),
+        source.join(known, keys, "left_anti").agg(F.count(F.lit(1)).alias("rows_inserted")),
     )
 
 
@@ -52,16 +55,33 @@ def affected(source: DataFrame, column: str = "eventDate") -> DataFrame:
     return source.select(column).distinct()
 
 
-def on_dates(df: DataFrame, dates: DataFrame, column: str = "eventDate") -> DataFrame:
-    """Rows on the given dates: a semi join that prunes partitions at run time."""
-    return df.join(dates, column, "left_semi")
+def dates_of(source: DataFrame, column: str = "eventDate") -> list[date]:
+    """The same dates on the driver: as many as a batch has days, whatever its rows."""
+    return sorted(r[0] for r in affected(source, column).filter(F.col(column).isNotNull()).collect())
+
+
+def on_dates(df: DataFrame, dates: list[date], column: str = "eventDate") -> DataFrame:
+    """Rows on the given dates.  The dates are literals, so other partitions are not opened
+    and nothing is shuffled to find them."""
+    return df.filter(F.col(column).isin(dates) if dates else F.lit(False))
+
+
+def off_dates(df: DataFrame, dates: list[date], column: str = "eventDate") -> DataFrame:
+    """All other rows, those without a date included."""
+    return df.filter(~F.coalesce(F.col(column).isin(dates), F.lit(False))) if dates else df
+
+
+def upsert_by_date(target: DataFrame, source: DataFrame, keys: list[str] = schemas.SILVER_KEY) -> DataFrame:
+    """``upsert`` of a table partitioned by a date that is one of the keys: only the source's
+    dates are joined, all others are carried over as they are."""
+    dates = dates_of(source)
+    return upsert(on_dates(target, dates), source, keys).unionByName(off_dates(target, dates))
 
 
-def refresh_gold(gold: DataFrame, silver: DataFrame, dates: DataFrame, distinct: str = "approx") -> DataFrame:
+def refresh_gold(gold: DataFrame, silver: DataFrame, dates: list[date], distinct: str = "approx") -> DataFrame:
     """Gold with the affected dates recomputed from silver and all others as they were."""
-    kept = gold.join(dates, "eventDate", "left_anti")
     fresh = gold_viewer_qos(on_dates(silver, dates), distinct)
-    return kept.unionByName(fresh)
+    return off_dates(gold, dates).unionByName(fresh)
 
 
 def delete_matching(target: DataFrame, keys_to_drop: DataFrame, keys: list[str]) -> DataFrame:
@@ -70,9 +90,9 @@ def delete_matching(target: DataFrame, keys_to_drop: DataFrame, keys: list[str])
 
 def delete_reprocessed(quarantine: DataFrame, reason: str, fixed: DataFrame) -> DataFrame:
     """Quarantine without the rows of one reason on the dates that were fixed."""
-    dates = affected(fixed).withColumnRenamed("eventDate", "_date")
-    gone = (F.col("quarantine_reason") == reason) & (F.col("eventDate") == F.col("_date"))
-    return quarantine.join(dates, gone, "left_anti")
+    dates = dates_of(fixed)
+    gone = (F.col("quarantine_reason") == reason) & F.col("eventDate").isin(dates) if dates else F.lit(False)
+    return quarantine.filter(~F.coalesce(gone, F.lit(False)))
 
 
 # --- jobs on stored tables --------------------------------------------------------------
@@ -112,7 +132,7 @@ def merge_table(
     if has_duplicates(source, keys):
         raise ValueError("source has several rows for one key")
     target = spark.read.parquet(path)
-    current = on_dates(target, affected(source))
+    current = on_dates(target, dates_of(source))
     counts = match_counts(current, source, keys).first().asDict()
     keep = ()
     if BATCH in target.columns:
@@ -126,7 +146,7 @@ def merge_table(
 
 
 def refresh_gold_table(
-    spark: SparkSession, gold_path: str, silver_path: str, dates: DataFrame, staging: str, distinct: str = "approx"
+    spark: SparkSession, gold_path: str, silver_path: str, dates: list[date], staging: str, distinct: str = "approx"
 ) -> int:
     """Recompute gold for the given dates only and overwrite those partitions.
 
@@ -135,6 +155,6 @@ def refresh_gold_table(
     silver = spark.read.parquet(silver_path)
     fresh = gold_viewer_qos(on_dates(silver, dates), distinct)
     rows = replace_partitions(spark, fresh, gold_path, ["eventDate"], staging)
-    for gone in dates.join(affected(silver), "eventDate", "left_anti").toLocalIterator():
-        files.delete(spark, f"{gold_path}/eventDate={gone.eventDate}")
+    for gone in set(dates) - set(dates_of(on_dates(silver, dates))):
+        files.delete(spark, f"{gold_path}/eventDate={gone}")
     return rows

@@ -24,6 +24,8 @@ NULL_DEFAULTS = {
 MAX_BUFFERING_SEC = 3600
 LOOKBACK_DAYS = 7
 REQUIRED = ["customerId", "contentId", "clientId", "quality_level"]
+#: Folder level of the archive: one value per archiving run.
+ARCHIVED = "archived"
 CLEANUP_MODES = ("none", "mark_processed", "delete", "archive")
 
 
@@ -191,7 +193,7 @@ def reprocess(
     source = spark.read.schema(schemas.SILVER).parquet(source_path)
     counts = merge.merge_table(spark, silver_path, source, f"{staging}/silver")
     counts["gold_rows"] = merge.refresh_gold_table(
-        spark, gold_path, silver_path, merge.affected(source), f"{staging}/gold", distinct
+        spark, gold_path, silver_path, merge.dates_of(source), f"{staging}/gold", distinct
     )
     return counts
 
@@ -208,8 +210,10 @@ def clean_up(
 ) -> bool:
     """Deal with reprocessed quarantine rows; True if anything was written.
 
-    Archiving appends first, checks the count, and only then shrinks the table.
+    Archiving comes first and is checked; only then the table shrinks.  Marking rewrites the
+    dates of the marked rows alone, once the table has the columns for it.
     """
+    staging = f"{quarantine_path}.staging"
     if mode not in CLEANUP_MODES:
         raise ValueError(f"mode must be one of {CLEANUP_MODES}")
     if mode == "none" or not confirm:
@@ -222,34 +226,42 @@ def clean_up(
     layout = tables.layout(rows, tables.QUARANTINE_PARTITIONS)
     if mode == "mark_processed":
         names = ["processed_id", "processed_timestamp"]
-        if not set(names) <= set(rows.columns):
+        grown = not set(names) <= set(rows.columns)
+        if grown:
             rows = rows.withColumns({names[0]: F.lit(None).cast("string"), names[1]: F.lit(None).cast("timestamp")})
-            tables.write_partitioned(rows, f"{quarantine_path}.marked", layout)
-            files.delete(spark, quarantine_path)
-            files.rename(spark, f"{quarantine_path}.marked", quarantine_path)
-            rows = spark.read.parquet(quarantine_path)
         stamp = F.current_timestamp() if stamp is None else stamp
         batch_id = F.expr("uuid()") if batch_id is None else batch_id
         left = mark_processed(rows, done, stamp, batch_id).select(*rows.columns)
+        if grown:  # every file gets the new columns
+            tables.replace_table(spark, left, quarantine_path, layout, grown=True)
+        else:
+            merge.replace_partitions(spark, merge.on_dates(left, merge.dates_of(done)), quarantine_path, layout, staging)
     else:
+        if mode == "archive" and archive_path is None:
+            raise ValueError("archive mode needs archive_path")
         gone, left = split_archive(rows, done)
         if mode == "archive":
-            if archive_path is None:
-                raise ValueError("archive mode needs archive_path")
-            before = tables.row_count(spark.read.parquet(archive_path)) if files.exists(spark, archive_path) else 0
-            moving = tables.row_count(gone)
-            tables.write_partitioned(gone, archive_path, tables.QUARANTINE_PARTITIONS, mode="append")
-            if tables.row_count(spark.read.parquet(archive_path)) != before + moving:
-                raise RuntimeError("archive is incomplete; quarantine left as it was")
-        left = left.select(*rows.columns)
-    tables.replace_table(spark, left, quarantine_path, layout)
+            _archive(spark, gone, archive_path)
+        tables.replace_table(spark, left.select(*rows.columns), quarantine_path, layout)
     files.delete(spark, keys_path)
     return True
 
 
+def _archive(spark: SparkSession, rows: DataFrame, archive_path: str) -> None:
+    """Add rows to the archive in folders named by their content, so that a second attempt
+    after a crash overwrites what the first one wrote instead of adding it again."""
+    mark = rows.agg(F.coalesce(F.sum(F.xxhash64(*schemas.SILVER_KEY).cast("decimal(38,0)")), F.lit(0)).cast("string")).first()[0]
+    layout = [*tables.QUARANTINE_PARTITIONS, ARCHIVED]
+    stamped = rows.withColumn(ARCHIVED, F.lit(f"m{mark}"))
+    tables.write_partitioned(tables.packed(stamped, layout), archive_path, layout)
+    live = spark.read.parquet(archive_path).filter(F.col(ARCHIVED) == f"m{mark}")
+    if tables.row_count(live) != tables.row_count(rows):
+        raise RuntimeError("archive is incomplete; quarantine left as it was")
+
+
 def dedupe_silver(spark: SparkSession, silver_path: str, backup: str | None, confirm: bool = False) -> DataFrame:
     """Counts of the duplicate clean-up; with ``confirm`` also back up and rewrite silver."""
-    from .dedupe import dedupe_counts
+    from .dedupe import dedupe_counts, duplicate_groups
 
     silver = spark.read.parquet(silver_path)
     report = dedupe_counts(silver)
@@ -259,6 +271,14 @@ def dedupe_silver(spark: SparkSession, silver_path: str, backup: str | None, con
     if report.first()["duplicates_removed"]:
         if backup:
             tables.backup_table(silver, backup)
-        kept = keep_one(silver, schemas.SILVER_KEY).select(*silver.columns)
-        tables.replace_table(spark, kept, silver_path, tables.layout(kept, ["eventDate"]))
+        # A key lies on one date, so dates without copies stay as they are.
+        dates = merge.dates_of(duplicate_groups(silver))
+        found = merge.on_dates(silver, dates)
+        kept = keep_one(found, schemas.SILVER_KEY).select(*silver.columns)
+        layout = tables.layout(kept, ["eventDate"])
+        if layout == ["eventDate"]:
+            merge.replace_partitions(spark, kept, silver_path, layout, f"{silver_path}.staging")
+        else:  # a batch folder may lose all of its rows
+            rest = merge.off_dates(silver, dates)
+            tables.replace_table(spark, kept.unionByName(rest), silver_path, layout)
     return report

@@ -20,12 +20,10 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame, order: str) -> DataFrame:
-    """Split an input of too few files by time, so that every core gets a share.
-
-    Inputs that already have at least as many scan tasks as there are cores pass through.
-    """
-    wanted = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartitionByRange(wanted, order) if df.rdd.getNumPartitions() < wanted else df
+    """Deal the slim event rows out by time before they are unfolded, into as many parts as the
+    session has shuffle partitions: the same for any number of files, and each part holds few
+    dates when it is written by date."""
+    return df.repartitionByRange(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), order)
 
 
 def _every(n: int) -> Column:

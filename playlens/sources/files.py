@@ -28,6 +28,11 @@ def rename(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"could not rename {source} to {target}")
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    target, fs = _path(spark, path)
+    fs.mkdirs(target)
+
+
 def subfolders(spark: SparkSession, path: str) -> list[str]:
     target, fs = _path(spark, path)
     return [s.getPath().getName() for s in fs.listStatus(target) if s.isDirectory()]

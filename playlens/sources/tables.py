@@ -62,15 +62,21 @@ def same_columns(left: T.StructType, right: T.StructType) -> bool:
     return {(f.name, f.dataType) for f in left} == {(f.name, f.dataType) for f in right}
 
 
-def replace_table(spark: SparkSession, df: DataFrame, path: str, partitions: list[str] | None = None) -> None:
-    """Overwrite a table that may also be the input of ``df``, keeping its schema.
+def replace_table(
+    spark: SparkSession, df: DataFrame, path: str, partitions: list[str] | None = None, grown: bool = False
+) -> None:
+    """Overwrite a table that may also be the input of ``df``, keeping its schema (``grown``:
+    columns may be added).
 
     The new rows go to a sibling folder first; the old folder is moved aside, the new one
-    moved in, and only then is the old one removed.  A crash leaves one complete copy.
+    moved in, and only then is the old one removed.  A crash leaves one complete copy, which
+    ``recover_table`` moves back if it was between the two moves.
     """
     current = spark.read.parquet(path).schema
-    if not same_columns(current, df.schema):
+    if not (same_columns(current, df.schema) or grown and set(current.names) <= set(df.columns)):
         raise ValueError("replacement has a different schema")
+    if partitions:
+        df = packed(df, partitions)
     fresh, old = f"{path}.new", f"{path}.old"
     for leftover in (fresh, old):
         if files.exists(spark, leftover):
@@ -82,6 +88,36 @@ def replace_table(spark: SparkSession, df: DataFrame, path: str, partitions: lis
     files.delete(spark, old)
 
 
+def swap_folder(spark: SparkSession, fresh: str, table: str, name: str) -> None:
+    """Put the folder ``fresh`` in the place of ``table``/``name``, which is moved aside first."""
+    aside = f"{table}.old"
+    files.make_folder(spark, aside)
+    files.rename(spark, f"{table}/{name}", f"{aside}/{name}")
+    files.rename(spark, fresh, f"{table}/{name}")
+    files.delete(spark, f"{aside}/{name}")
+
+
+def recover_folders(spark: SparkSession, table: str) -> list[str]:
+    """After a crash within ``swap_folder``: folders that are missing from the table go back to
+    it, others that were left aside go; returns the names put back."""
+    aside, back = f"{table}.old", []
+    for name in files.subfolders(spark, aside) if files.exists(spark, aside) else []:
+        if files.exists(spark, f"{table}/{name}"):
+            files.delete(spark, f"{aside}/{name}")
+        else:
+            files.rename(spark, f"{aside}/{name}", f"{table}/{name}")
+            back.append(name)
+    return back
+
+
+def recover_table(spark: SparkSession, path: str) -> bool:
+    """After a crash within ``replace_table``: move the complete copy back; True if one was needed."""
+    if files.exists(spark, path) or not files.exists(spark, f"{path}.old"):
+        return False
+    files.rename(spark, f"{path}.old", path)
+    return True
+
+
 def backup_table(df: DataFrame, table: str, moment: datetime | None = None) -> str:
     """Copy under a time-stamped name; returns the name."""
     name = f"{table}_backup_{(moment or datetime.now()).strftime('%Y%m%d_%H%M%S')}"

@@ -18,31 +18,28 @@ from ..sources import files, tables
 from ..sources.tables import BATCH
 
 
-def append_flow(df: DataFrame, path: str, checkpoint: str, partitions: list[str]) -> StreamingQuery:
-    """Append a stream to a table; the sink's log makes each row appear exactly once."""
-    return (
-        df.writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-        .partitionBy(*partitions)
-        .trigger(availableNow=True)
-        .start()
-    )
+def batch_flow(df: DataFrame, path: str, checkpoint: str, partitions: list[str]) -> StreamingQuery:
+    """Append a stream to a table: every micro-batch in folders of its own.
+
+    A replayed micro-batch overwrites just its folders, so each row appears once, and the table
+    is plain folders that the maintenance jobs may rewrite; no sink log decides what is read.
+    """
+    return routed_flow(df, lambda rows, batch_id: _write_batch(rows, path, batch_id, partitions), checkpoint)
 
 
 def silver_flow(bronze: DataFrame, path: str, checkpoint: str, not_null: str | None = "fail") -> StreamingQuery:
-    return append_flow(medallion.silver_enriched(bronze, not_null), path, checkpoint, ["eventDate"])
+    return batch_flow(medallion.silver_enriched(bronze, not_null), path, checkpoint, ["eventDate"])
 
 
 def quarantine_flow(bronze: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    return append_flow(medallion.quarantine(bronze), path, checkpoint, tables.QUARANTINE_PARTITIONS)
+    return batch_flow(medallion.quarantine(bronze), path, checkpoint, ["eventDate"])
 
 
 def _write_batch(rows: DataFrame, path: str, batch_id: int, partitions: list[str]) -> None:
     """Write one micro-batch into folders of its own; a replay overwrites just those."""
     stamped = rows.withColumn(BATCH, F.lit(batch_id).cast("int"))
-    tables.write_partitioned(stamped, path, [*partitions, BATCH])
+    layout = [*partitions, BATCH]
+    tables.write_partitioned(tables.packed(stamped, layout), path, layout)
 
 
 def route_batch(
@@ -66,7 +63,7 @@ def route_batch(
             silver = medallion.silver_from_rows(rows, not_null)
             _write_batch(silver, silver_path, batch_id, ["eventDate"])
             _write_batch(medallion.quarantine_from_rows(rows), quarantine_path, batch_id, ["eventDate"])
-            dates = merge.affected(rows)
+            dates = merge.dates_of(rows)
             # Nothing may have reached silver yet, e.g. a first batch with faulty rows only.
             if files.exists(spark, silver_path) and not silver.isEmpty():
                 gold_rows = merge.refresh_gold_table(spark, gold_path, silver_path, dates, staging, distinct)

@@ -58,7 +58,7 @@ def test_refresh_of_affected_dates_equals_full_recompute(spark, silver_path, tmp
     tables.write_partitioned(medallion.gold_viewer_qos(silver, "exact"), gold_path, ["eventDate"])
     late = fx.silver(spark, fx.silver_row("late", 5, day=D1))
     merge.merge_table(spark, silver_path, late, staging)
-    merge.refresh_gold_table(spark, gold_path, silver_path, merge.affected(late), staging, "exact")
+    merge.refresh_gold_table(spark, gold_path, silver_path, merge.dates_of(late), staging, "exact")
     full = medallion.gold_viewer_qos(spark.read.parquet(silver_path), "exact")
     assert contents(spark.read.parquet(gold_path)) == contents(full)
 
@@ -66,7 +66,7 @@ def test_refresh_of_affected_dates_equals_full_recompute(spark, silver_path, tmp
 def test_refresh_drops_dates_without_silver(spark, silver_path, tmp_path):
     gold_path, staging = str(tmp_path / "gold"), str(tmp_path / "staging")
     tables.write_partitioned(medallion.gold_viewer_qos(spark.read.parquet(silver_path)), gold_path, ["eventDate"])
-    dates = merge.affected(spark.createDataFrame([(D1,)], "eventDate date"))
+    dates = [D1]
     files.delete(spark, f"{silver_path}/eventDate=2024-01-01")
     assert merge.refresh_gold_table(spark, gold_path, silver_path, dates, staging) == 0
     assert {r.eventDate for r in spark.read.parquet(gold_path).collect()} == {D2}
@@ -162,6 +162,59 @@ def test_compaction_keeps_the_rows(spark, silver_path, tmp_path):
     assert files.data_files(spark, silver_path).count() == 2 < n_before
 
 
+def test_a_crash_leaves_a_readable_table(spark, silver_path, tmp_path):
+    stored = contents(spark.read.parquet(silver_path))
+    files.make_folder(spark, f"{silver_path}.old")
+    files.rename(spark, f"{silver_path}/eventDate=2024-01-01", f"{silver_path}.old/eventDate=2024-01-01")
+    assert tables.recover_folders(spark, silver_path) == ["eventDate=2024-01-01"]
+    assert contents(spark.read.parquet(silver_path)) == stored
+    files.rename(spark, silver_path, f"{silver_path}.old")
+    assert tables.recover_table(spark, silver_path) and not tables.recover_table(spark, silver_path)
+    assert contents(spark.read.parquet(silver_path)) == stored
+
+
+def test_archiving_twice_adds_nothing(spark, tmp_path):
+    path = str(tmp_path / "archive")
+    for _ in range(2):  # as after a crash between the archive and the table
+        repair._archive(spark, quarantined(spark), path)
+    assert spark.read.parquet(path).count() == 3
+
+
+def test_only_dates_with_too_many_files_are_compacted(spark, silver_path, tmp_path):
+    for n in range(3):
+        tables.write_partitioned(fx.silver(spark, fx.silver_row("c", n, day=D2)), silver_path, ["eventDate"], "append")
+    kept = set(r.path for r in files.data_files(spark, f"{silver_path}/eventDate=2024-01-01").collect())
+    before = contents(spark.read.parquet(silver_path))
+    if len(kept) == 1:
+        assert maintenance.compact(spark, silver_path, str(tmp_path / "staging")) == [D2]
+        assert kept == set(r.path for r in files.data_files(spark, f"{silver_path}/eventDate=2024-01-01").collect())
+    assert contents(spark.read.parquet(silver_path)) == before
+
+
+def test_replayed_version_is_logged_once(spark, tmp_path):
+    log = str(tmp_path / "log")
+    maintenance.ensure_log(spark, log)
+    for _ in range(2):
+        maintenance.log_run(spark, log, layer="gold", version=3, operation="WRITE", rows_out=1)
+    assert maintenance.log_table(spark, log).count() == 1
+
+
+def test_no_shuffle_by_date_or_raw_customer(spark, silver_path):
+    silver = spark.read.parquet(silver_path)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")
+    try:
+        source = fx.silver(spark, fx.silver_row("a", 1, day=D1))
+        gold = medallion.gold_viewer_qos(silver, "exact")
+        plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+        dates = merge.dates_of(source)
+        assert "Join" not in plan(merge.refresh_gold(gold, silver, dates, "exact"))
+        assert "Exchange" not in plan(merge.on_dates(silver, dates)) and "2024-01-01" in plan(merge.on_dates(silver, dates))
+        # folded to distinct customers on both sides before they meet
+        assert plan(contracts.shared_customers(silver, silver)).count("HashAggregate") >= 4
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_replacement_must_keep_the_schema(spark, silver_path):
     rows = spark.read.parquet(silver_path)
     with pytest.raises(ValueError, match="schema"):
