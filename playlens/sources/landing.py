@@ -2,33 +2,88 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas
+from . import files
 from ..functions.frames import settle
 
 
-def read_reports(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFrame:
-    """Batch read of ``eventDate=*`` folders.
+RESCUED = "_rescued_data"
+
 
-    The hinted fields keep their contract types.  With ``merge_schema`` columns that newer
-    files add come along after them.
+def read_reports(spark: SparkSession, path: str) -> DataFrame:
+    """Batch read of ``eventDate=*`` folders that loses nothing.
+
+    Hinted fields have their contract types.  Columns that some files add come after them,
+    NULL elsewhere.  Where a file holds a hinted field in another type its values are cast;
+    those that do not fit are kept in ``_rescued_data`` as a JSON object by column.
     """
-    if merge_schema:
-        found = spark.read.option("mergeSchema", True).option("basePath", path).parquet(path)
-        return align(found, schemas.BRONZE)
-    return spark.read.schema(schemas.BRONZE).option("basePath", path).parquet(path)
+    parts = [align(rows, schemas.BRONZE) for rows in _by_schema(spark, path)]
+    if not parts:
+        return spark.read.schema(schemas.BRONZE).option("basePath", path).parquet(path)
+    return reduce(union_evolved, parts)
+
+
+def _by_schema(spark: SparkSession, path: str) -> list[DataFrame]:
+    """One frame per different schema of the date folders; a folder whose own files differ is
+    read file by file.  As many frames as there were schemas, not as many as folders."""
+    groups: dict[str, tuple[T.StructType, list[str]]] = {}
+
+    def add(part: str) -> None:
+        schema = spark.read.option("mergeSchema", True).parquet(part).schema
+        groups.setdefault(schema.json(), (schema, []))[1].append(part)
+
+    folders = [f"{path}/{name}" for name in files.subfolders(spark, path) if name.startswith("eventDate=")]
+    for folder in folders:
+        try:
+            add(folder)
+        except (Py4JJavaError, PySparkException) as problem:
+            if "CANNOT_MERGE_SCHEMAS" not in str(problem):
+                raise
+            for row in files.data_files(spark, folder).select("path").collect():
+                add(row.path)
+    return [spark.read.schema(s).option("basePath", path).parquet(*parts) for s, parts in groups.values()]
 
 
 def align(df: DataFrame, hinted: T.StructType) -> DataFrame:
-    """Hinted fields first with their types (NULL where absent), then any further columns."""
-    fixed = [
-        (F.col(f.name).cast(f.dataType) if f.name in df.columns else F.lit(None).cast(f.dataType)).alias(f.name)
-        for f in hinted
-    ]
-    return df.select(*fixed, *[c for c in df.columns if c not in hinted.names])
+    """Hinted fields first with their types (NULL where absent), then any further columns;
+    values that do not fit their type go to ``_rescued_data``."""
+    kinds = {f.name: f.dataType for f in df.schema}
+    fixed, lost = [], []
+    for f in hinted:
+        if f.name == RESCUED:
+            continue
+        if f.name not in kinds:
+            fixed.append(F.lit(None).cast(f.dataType).alias(f.name))
+            continue
+        value = F.col(f.name)
+        if kinds[f.name] == f.dataType:
+            fixed.append(value)
+        elif isinstance(f.dataType, T.AtomicType) and isinstance(kinds[f.name], T.AtomicType):
+            fixed.append(value.try_cast(f.dataType).alias(f.name))
+            lost.append(F.when(value.try_cast(f.dataType).isNull(), value).alias(f.name))
+        else:  # nested: by way of JSON, which drops what does not fit
+            cast = F.from_json(F.to_json(F.struct(value)), T.StructType([f]))[f.name]
+            fixed.append(cast.alias(f.name))
+            same = F.to_json(F.struct(cast.alias(f.name))).eqNullSafe(F.to_json(F.struct(value)))
+            lost.append(F.when(~same, value).alias(f.name))
+    known = F.col(RESCUED) if RESCUED in kinds else F.lit(None).cast("string")
+    rescued = F.nullif(F.to_json(F.struct(*lost)), F.lit("{}")) if lost else F.lit(None).cast("string")
+    rest = [c for c in df.columns if c not in hinted.names and c != RESCUED]
+    return df.select(*fixed, F.coalesce(rescued, known).alias(RESCUED), *rest)
+
+
+def widened(spark: SparkSession, path: str, hinted: T.StructType = schemas.BRONZE) -> T.StructType:
+    """The hinted schema and the columns that files in the landing zone have besides."""
+    found = [f for rows in _by_schema(spark, path) for f in rows.schema if f.name not in hinted.names]
+    return T.StructType([*hinted, *{f.name: f for f in found}.values()])
 
 
 def added_columns(df: DataFrame, hinted: T.StructType = schemas.BRONZE) -> list[str]:
@@ -41,14 +96,16 @@ def union_evolved(older: DataFrame, newer: DataFrame) -> DataFrame:
 
 
 def stream_reports(
-    spark: SparkSession, path: str, files_per_batch: int = 1000, schema: T.StructType = schemas.BRONZE
+    spark: SparkSession, path: str, files_per_batch: int = 1000, schema: T.StructType | None = None
 ) -> DataFrame:
     """Incremental read: the file source log and the checkpoint remember what was taken.
 
-    After columns were added, restart the stream with the widened schema.
+    The schema is the hinted one, widened by the columns the files have when the run starts; a
+    triggered run thus takes columns along that were added since the last one.  A file that
+    holds a hinted field in a type which cannot be read as the hinted one stops the run.
     """
     return (
-        spark.readStream.schema(schema)
+        spark.readStream.schema(schema or widened(spark, path))
         .option("basePath", path)
         .option("maxFilesPerTrigger", files_per_batch)
         .parquet(path)

@@ -90,6 +90,25 @@ def test_batch_read_with_added_column(spark, tmp_path):
     assert both.filter("cdn IS NULL").count() == 1
 
 
+def test_ingest_loses_no_column_and_no_value(spark, tmp_path):
+    path = str(tmp_path / "landing")
+    older = fx.bronze(spark, fx.report()).drop("eventDate", "_rescued_data")
+    older.write.parquet(f"{path}/eventDate=2024-01-10")
+    older.withColumn("cdn", F.lit("edge")).write.parquet(f"{path}/eventDate=2024-01-11")
+    odd = older.withColumn("clientId", F.struct(F.lit(1).alias("id")))
+    odd = odd.withColumn("player", F.struct(F.lit("two").alias("bufferings"), F.lit("7").alias("bufferingTime")))
+    odd.write.parquet(f"{path}/eventDate=2024-01-12")
+    older.withColumn("customerId", F.lit(5)).write.mode("append").parquet(f"{path}/eventDate=2024-01-12")
+    rows = {(str(r.eventDate), r.customerId): r for r in landing.read_reports(spark, path).collect()}
+    assert len(rows) == 4 and {r.cdn for r in rows.values()} == {None, "edge"}
+    lost = rows["2024-01-12", "C1"]
+    assert lost.clientId is None or "1" in lost.clientId
+    assert '"bufferings":"two"' in lost._rescued_data and lost.player.bufferings is None
+    assert rows["2024-01-12", "5"]._rescued_data is None and rows["2024-01-10", "C1"]._rescued_data is None
+    assert landing.widened(spark, f"{path}").names[-1] == "cdn"
+    assert "cdn" in landing.stream_reports(spark, path).columns
+
+
 def test_partition_filter_prunes(spark, tmp_path):
     path = str(tmp_path / "silver")
     tables.write_clustered(fx.silver(spark, fx.silver_row(), fx.silver_row(client="U2")), path, tables.CLUSTER_KEYS["silver"])
