@@ -5,11 +5,16 @@
    process each, at the rate of their weight, to the signature's places.  A place keeps the
    shingle that arrives first; a shingle stops once its next arrival is later than every
    place's.  Two signatures agree in a place with the probability Jaccard similarity.
-3. Nodes that agree in all places of a band meet in a bucket.  Within a bucket some pivots are
-   compared with the other members, not all pairs: first one by chance, then those linked
-   most, four times as many each round.  A pivot that was compared leaves its bucket; a bucket
-   is done when those left are of one class.  Two texts that met are thus compared, or are
-   in one class already: no link is lost to the size of a bucket.
+3. Nodes that agree in all places of a band meet in a bucket.  A bucket is not unfolded into
+   pairs: its pivot, the member that meets most nodes in all, is compared with the others; buckets
+   of one pivot are one group, and a group goes into that of a heavier pivot which met its own.  Members linked to the pivot are of one class.  A link
+   between members of which one is not linked to the pivot is searched for exactly:
+   - If both share a shingle that the pivot lacks, they share one among the first few that each
+     has (in order of hash; how few follows from the similarity).  Members that do form a
+     smaller group with pivots of its own, eight times as many, and so on until none is left.
+   - If they share none, one is smaller than the pivot and has lost hardly any of the pivot's
+     shingles that the other one has not lost.  A join on the first shingles lost finds them.
+   So every two texts that meet are compared, are in one class, or cannot be a link.
 4. A pair is a link if the Jaccard similarity of its shingle sets is at least 0.8.
 5. Classes are the connected components of links, by repeated minimum labels.
 
@@ -21,7 +26,9 @@ no rows.  Other columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import fresh, slices, written
+from .common import fresh, ship, slices, written
 from .shingles import distinct, mix, shingles
 
 BANDS, ROWS = 25, 5
@@ -109,24 +116,139 @@ def _shingle_sets(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "node binary, set binary")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (``pivot``, ``node``) whose shingle sets are similar enough."""
-    schema = pa.schema([("pivot", pa.binary()), ("node", pa.binary())])
+COMPARED = "pivot binary, node binary, pivot_n int, n int, both int, linked boolean, gained array<long>, lost_some array<long>, lost_all array<long>"
+
+
+def _compared(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Each pair (``pivot``, ``node``) with the sizes of the shingle sets and of what they share,
+    whether it is a link, and the shingles by which the node may meet others:
+
+    ``gained``: the first of those the pivot lacks.  A text as similar as asked for shares at
+    least similarity * n of the node's shingles, of which the pivot has ``both`` at most.
+    ``lost_some``: the first of those the node lacks, if it is smaller than the pivot; a partner
+    not linked to the pivot has kept fewer than similarity / (1 + similarity) * (pivot_n - n).
+    ``lost_all``: all of those the node lacks, if it is not linked but has little of its own.
+    """
+
+    def facts(one: np.ndarray, other: np.ndarray) -> tuple:
+        both = len(np.intersect1d(one, other, assume_unique=True))
+        n, pivot_n = len(other), len(one)
+        linked = both >= similarity * (n + pivot_n - both)
+        gained = np.setdiff1d(other, one, assume_unique=True)
+        gained = gained[: max(0, len(gained) - max(1, math.ceil(similarity * n - both)) + 1)]
+        lost = np.setdiff1d(one, other, assume_unique=True)
+        some = lost[: math.floor(similarity / (1 + similarity) * (pivot_n - n)) + 1] if n < pivot_n else lost[:0]
+        whole = lost if not linked and both >= similarity * n else lost[:0]
+        return pivot_n, n, both, linked, gained, some, whole
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for one, other in zip(batch.column("one"), batch.column("other")):
-                x, y = np.frombuffer(one.as_buffer(), np.uint64), np.frombuffer(other.as_buffer(), np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(both >= similarity * (len(x) + len(y) - both))
-            yield pa.RecordBatch.from_arrays([batch.column("pivot"), batch.column("node")], schema=schema).filter(pa.array(keep, pa.bool_()))
-
-    one = sets.select(F.col("node").alias("pivot"), F.col("set").alias("one"))
-    other = sets.select("node", F.col("set").alias("other"))
-    return pairs.join(one, "pivot").join(other, "node").select("pivot", "node", "one", "other").mapInArrow(
-        run, "pivot binary, node binary"
+            for a, b in slices(batch.column("other"), SLICE_BYTES):
+                part = batch.slice(a, b - a)
+                view = lambda name: [np.frombuffer(x.as_buffer(), np.uint64) for x in part.column(name)]  # noqa: B023, E731
+                found = [facts(one, other) for one, other in zip(view("one"), view("other"))]
+                columns = list(zip(*found)) or [()] * 7
+                lists = [[x.astype(np.int64) for x in c] for c in columns[4:]]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("pivot"), part.column("node"), *[pa.array(c, pa.int32()) for c in columns[:3]],
+                     pa.array(columns[3], pa.bool_()), *[pa.array(c, pa.list_(pa.int64())) for c in lists]],
+                    names=["pivot", "node", "pivot_n", "n", "both", "linked", "gained", "lost_some", "lost_all"],
+                )
+
+    # plain merge joins: sets are wide, and broadcasts that come and go with size would hide how it grows
+    one = sets.select(F.col("node").alias("pivot"), F.col("set").alias("one")).hint("merge")
+    other = sets.select("node", F.col("set").alias("other")).hint("merge")
+    return pairs.join(other, "node").join(one, "pivot").select("pivot", "node", "one", "other").mapInArrow(run, COMPARED)
+
+
+def _led(members: DataFrame, weights: DataFrame, by: str, leaders: int) -> DataFrame:
+    """``by``, ``pivot``, ``node``, ``lead`` (whether it is the first pivot) and ``rest`` (whether the
+    node is no pivot): pairs of the ``leaders`` members of the most weight in each group with
+    the members behind them."""
+    order = Window.partitionBy(by).orderBy(F.desc("weight"), F.xxhash64("node"), "node")
+    ranked = members.join(weights, "node").withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= leaders)
+    pivots = written(ranked.select(by, F.col("node").alias("pivot"), "rank"), "pivots")
+    placed = members
+    if leaders > 1:
+        placed = members.join(pivots.select(by, F.col("pivot").alias("node"), F.col("rank").alias("own")), [by, "node"], "left")
+    else:
+        placed = members.withColumn("own", F.lit(None).cast("int"))
+    pairs = placed.join(pivots, by).filter(F.col("own").isNull() | (F.col("own") > F.col("rank")))
+    pairs = pairs.filter(F.col("node") != F.col("pivot"))
+    return pairs.select(by, "pivot", "node", (F.col("rank") == 1).alias("lead"), F.col("own").isNull().alias("rest"))
+
+
+def _merged(members: DataFrame, weights: DataFrame) -> DataFrame:
+    """Groups whose pivot is a member of a heavier pivot's group become part of that one.  Pairs
+    that meet stay in a group together, and fewer pivots are compared."""
+    heavier = members.join(weights.withColumnRenamed("node", "pivot"), "pivot").groupBy(F.col("node").alias("pivot")).agg(
+        F.max(F.struct("weight", F.xxhash64("pivot"), "pivot")).alias("top")
     )
+    moved = members.join(heavier, "pivot", "left").select(F.coalesce("top.pivot", "pivot").alias("pivot"), "node")
+    return moved.filter(F.col("node") != F.col("pivot")).distinct()
+
+
+def links(meetings: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Links (``pivot``, ``node``) that connect all texts of a class, from ``meetings`` (``bucket``, ``node``, ``size``)."""
+    weights = written(meetings.groupBy("node").agg(F.sum("size").alias("weight")), "weights")
+    first = _led(meetings.select("bucket", "node"), weights, "bucket", 1)
+    members = written(first.select("pivot", "node").distinct(), "members")
+    for _ in range(2):
+        members = written(_merged(members, weights), "members")
+    members = members.select(F.xxhash64("pivot").alias("group"), "pivot", "node", F.lit(True).alias("lead"), F.lit(True).alias("rest"))
+    found, seen, leaders = [], members.select("group").limit(0), 1
+    while True:
+        compared = written(_compared(members.select("pivot", "node").distinct(), sets, similarity), "compared")
+        found.append(compared.filter("linked").select("pivot", "node"))
+        groups = members.filter("lead and rest").join(compared, ["pivot", "node"])
+        open_ = groups.groupBy("group").agg(F.count(F.lit(1)).alias("c"), F.count_if(~F.col("linked")).alias("u"))
+        open_ = open_.filter("c > 1 and u > 0").select("group", F.col("c").alias("left"))
+        rows = written(groups.join(open_, "group"), "open-groups")
+
+        share = F.lit(similarity / (1 + similarity))
+        small = rows.select("group", F.col("node").alias("pivot"), F.col("n").alias("small_n"), F.explode("lost_some").alias("e"))
+        other = rows.filter("not linked").select("group", "node", "n", "both", F.explode("lost_all").alias("e"))
+        fits = (F.col("both") >= share * (F.col("n") + F.col("small_n"))) & (F.col("node") != F.col("pivot"))
+        lost = small.join(other, (small["group"] == other["group"]) & (small["e"] == other["e"]) & fits)
+        lost = written(lost.select("pivot", "node").distinct(), "lost-pairs")
+        found.append(written(_compared(lost, sets, similarity).filter("linked").select("pivot", "node"), "links"))
+
+        smaller = _smaller_groups(rows, seen)
+        if smaller.isEmpty():
+            return reduce(DataFrame.union, found)
+        seen = written(seen.union(smaller.select("group").distinct()), "seen-groups")
+        leaders *= 8
+        members = written(_led(smaller, weights, "group", leaders), "members")
+
+
+def _smaller_groups(rows: DataFrame, seen: DataFrame) -> DataFrame:
+    """``group``, ``node`` of the groups to search next, from the members that are left in each.
+
+    Members that share a gained shingle, not all of them linked, are a group.  Where these
+    groups would together be at least half the work that the members left are (their sizes
+    squared), those stay one group, so the work shrinks with every step.  A group is known by its members: an edit makes several shingles that
+    the same texts share, and these are one group; none is searched twice.
+    """
+    member = F.xxhash64("node", F.lit("member"))
+    known = [
+        F.count(F.lit(1)).alias("c"), F.count_if(~F.col("linked")).alias("u"),
+        F.bit_xor(member).alias("x"), F.bit_xor(F.xxhash64(member, member)).alias("y"),
+    ]
+    identity = F.xxhash64("c", "x", "y").alias("id")
+    shared = rows.select(F.col("group").alias("parent"), "left", "node", "linked", F.explode("gained").alias("e"))
+    shared = shared.withColumn("group", F.xxhash64("parent", "e"))
+    several = shared.groupBy("parent", "left", "group").agg(*known).filter("c > 1 and u > 0")
+    several = written(several.groupBy("parent", "left", identity).agg(F.min("group").alias("group"), F.min("c").alias("c")), "shared")
+    sizes = several.groupBy("parent", "left").agg(F.sum(F.col("c") * F.col("c")).alias("work"))
+    fewer = F.col("work") * 2 <= F.col("left") * F.col("left")
+    whole = sizes.filter(~fewer).select(F.col("parent").alias("group"))
+    cut = several.join(sizes.filter(fewer).select("parent"), "parent").select("group", "id")
+    uncut = rows.join(whole, "group").select("group", "node", "linked")
+    uncut_id = uncut.groupBy("group").agg(*known).select("group", identity)
+    one_each = cut.union(uncut_id).groupBy("id").agg(F.min("group").alias("group"))
+    new = written(one_each.join(seen.select(F.col("group").alias("id")), "id", "left_anti").select("group", "id"), "groups")
+    rows = shared.select("group", "node").union(uncut.select("group", "node"))
+    return written(rows.join(new, "group").select(F.col("id").alias("group"), "node"), "group-members")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -143,22 +265,22 @@ def components(links: DataFrame) -> DataFrame:
         edges.groupBy("node").agg(F.min("pivot").alias("label")).select("node", F.least("node", "label").alias("label")), "labels"
     )
     while True:
-        near = edges.join(labels.select(F.col("node").alias("pivot"), "label"), "pivot").select("node", "label")
-        near = labels.unionByName(near).groupBy("node").agg(F.min("label").alias("near"))
+        near = edges.join(labels.select(F.col("node").alias("pivot"), "label"), "pivot").select("node", "label", F.lit(None).alias("was"))
+        near = labels.select("node", "label", F.col("label").alias("was")).union(near)
+        near = near.groupBy("node").agg(F.min("label").alias("near"), F.max("was").alias("was"))
         jump = labels.select(F.col("node").alias("near"), F.col("label").alias("far"))
-        new = near.join(jump, "near", "left").select("node", F.least("near", F.coalesce("far", "near")).alias("label"))
+        new = near.join(jump, "near", "left").select("node", F.least("near", F.coalesce("far", "near")).alias("label"), "was")
         new = written(new, "labels")
-        moved = new.join(labels.withColumnRenamed("label", "was"), "node").filter(F.col("label") != F.col("was"))
-        if moved.isEmpty():
-            return new
-        labels = new
+        labels = new.select("node", "label")
+        if new.filter("label != was").isEmpty():
+            return labels
 
 
 def _meetings(nodes: DataFrame) -> DataFrame:
-    """``bucket``, ``node``, ``n`` of all buckets with more than one node."""
-    places = nodes.select("node", "n", F.posexplode("bands").alias("band", "hash"))
-    places = places.select(F.xxhash64("band", "hash").alias("bucket"), "node", "n")
-    shared = places.groupBy("bucket").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("bucket")
+    """``bucket``, ``node``, ``size`` of all buckets with more than one node."""
+    places = nodes.select("node", F.posexplode("bands").alias("band", "hash"))
+    places = places.select(F.xxhash64("band", "hash").alias("bucket"), "node")
+    shared = places.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     return written(places.join(written(shared, "buckets"), "bucket"), "meetings")
 
 
@@ -167,11 +289,12 @@ def classes(
 ) -> DataFrame:
     """One row per document: ``doc_id``, ``node`` (digest of its text), ``class_id``, ``class_size``,
     ``n_texts`` (different texts in its class) and ``class_node``, the smallest node of the class."""
+    ship(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = rows.withColumn("node", _digest("text"))
     signed = written(_signed(rows.filter("text is not null"), bands, rows_per_band), "signatures")
     nodes = written(
-        signed.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"), F.first("bands").alias("bands")),
+        signed.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"), F.first("bands").alias("bands")),
         "nodes",
     )
     meetings = _meetings(nodes)
@@ -180,43 +303,7 @@ def classes(
     sets = _shingle_sets(texts.select("node", "text"))
     sets = written(sets.groupBy("node").agg(F.first("set").alias("set")), "sets")
 
-    labels, links, tried, pivots = None, None, None, 1
-    left = meetings
-    while True:
-        degree = left.withColumn("degree", F.lit(0))
-        if links is not None:
-            ends = links.select("node").union(links.select("pivot")).groupBy("node").agg(F.count(F.lit(1)).alias("degree"))
-            degree = left.join(ends, "node", "left").na.fill(0, ["degree"])
-        order = Window.partitionBy("bucket").orderBy(F.desc("degree"), F.xxhash64("bucket", "node"), "node")
-        chosen = degree.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= pivots)
-        chosen = written(
-            chosen.select("bucket", F.col("node").alias("pivot"), F.col("n").alias("pivot_n"), *(["label"] if labels else [])), "pivots"
-        )
-        if labels:
-            chosen_labelled = chosen.withColumnRenamed("label", "pivot_label")
-            pairs = left.join(chosen_labelled, "bucket").filter("label != pivot_label")
-        else:
-            pairs = left.join(chosen, "bucket")
-        near = F.least("n", "pivot_n") >= F.lit(similarity) * F.greatest("n", "pivot_n")
-        pairs = pairs.filter((F.col("node") != F.col("pivot")) & near)
-        pairs = pairs.select(F.greatest("node", "pivot").alias("pivot"), F.least("node", "pivot").alias("node")).distinct()
-        if tried is not None:
-            pairs = pairs.join(tried, ["pivot", "node"], "left_anti")
-        pairs = written(pairs, "pairs")
-        found = written(_verified(pairs, sets, similarity), "links")
-        tried = pairs if tried is None else tried.union(pairs)
-        links = found if links is None else links.union(found)
-        labels = components(links)
-        rest = left.select("bucket", "node", "n").join(
-            chosen.select("bucket", F.col("pivot").alias("node")), ["bucket", "node"], "left_anti"
-        )
-        rest = rest.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        rest = written(rest, "rest")
-        several = rest.groupBy("bucket").agg(F.min("label").alias("a"), F.max("label").alias("b")).filter("a != b")
-        left = written(rest.join(several.select("bucket"), "bucket"), "meetings")
-        if left.isEmpty():
-            break
-        pivots *= 4
+    labels = components(links(meetings, sets, similarity))
     named = nodes.select("node", "doc_id", "copies").join(labels, "node", "left")
     named = written(named.withColumn("label", F.coalesce("label", "node")), "named")
     sizes = written(

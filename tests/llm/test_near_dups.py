@@ -34,6 +34,10 @@ def copies():
     for i in range(12):
         chain[i * 15 : i * 15 + 5] = text(draw, 5).split()
         rows.append(" ".join(chain))
+    cut = text(draw, 260).split()  # parts of one text: links of which neither shares what the whole lacks
+    rows += [" ".join(cut[:n]) for n in range(100, 261, 8)] + [" ".join(cut[n:]) for n in range(8, 150, 8)]
+    family = [" ".join(edit(draw, edit(draw, base, 0.03), 0.008)) for _ in range(3)]
+    rows += [" ".join(edit(draw, f.split(), 0.02)) for f in family for _ in range(20)] + family
     rows += [text(draw, draw.randrange(1, 80)) for _ in range(60)] + [rows[0]] * 20 + ["", "", " \n", "one", "one", "two three", None, None]
     rows += ["stop " * 5000, "stop " * 4000, text(draw, 30_000)]
     draw.shuffle(rows)
