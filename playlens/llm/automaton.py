@@ -26,7 +26,9 @@ import numpy as np
 from .encoding import Words
 
 #: Arcs remembered before the transition table is emptied.
-TABLE_ARCS = 2_000_000
+TABLE_ARCS = 300_000
+#: Words remembered; fewer than by default, as the table takes room as well.
+CACHED_WORDS = 120_000
 
 
 def byte_signs() -> dict[str, int]:
@@ -41,7 +43,7 @@ class TokenAutomaton(Words):
     """Encodes a word by table-driven transitions; also the memory of encoded words."""
 
     def __init__(self, spec: str):
-        super().__init__()
+        super().__init__(CACHED_WORDS)
         made = json.loads(spec)
         model, signs = made["model"], byte_signs()
         odd = [k for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges") if model.get(k)]

@@ -22,7 +22,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -35,7 +34,7 @@ SAMPLE_ROWS = 4_000
 CENTROIDS = 3
 LOG_SIZE = 11
 TAIL, SLACK = 0.002, 0.25
-SLICE_BYTES, SLICE_ROWS = 1 << 20, 1_000
+SLICE_BYTES, SLICE_ROWS = 1 << 20, 500
 UNKNOWN = "und"
 PREDICTED = ("lang_pred", "score", "rejected")
 
@@ -156,19 +155,20 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     rows = docs.withColumn(text, F.col("text").cast("string"))
     rows = rows.withColumn(lettered, F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)))
 
-    @F.pandas_udf("lang_pred string, score double, rejected boolean")
-    def guess(texts: pd.Series, with_letter: pd.Series) -> pd.DataFrame:
+    @F.arrow_udf("lang_pred string, score double, rejected boolean")
+    def guess(texts: pa.Array, with_letter: pa.Array) -> pa.Array:
         model = shared.value
-        lettered = with_letter.to_numpy(bool)
+        lettered = with_letter.to_numpy(zero_copy_only=False)
         names = np.full(len(texts), UNKNOWN, object)
         scores, odd = np.zeros(len(texts)), np.ones(len(texts), bool)
         if model is not None:
-            found = pa.array(texts, pa.string(), from_pandas=True)
-            for a, b in slices(found, SLICE_BYTES, SLICE_ROWS):
-                language, scores[a:b], odd[a:b] = model.predict(counts(found[a:b]))
+            for a, b in slices(texts, SLICE_BYTES, SLICE_ROWS):
+                language, scores[a:b], odd[a:b] = model.predict(counts(texts[a:b]))
                 names[a:b] = np.array(model.languages, object)[language]
-        return pd.DataFrame({
-            "lang_pred": np.where(lettered, names, UNKNOWN), "score": np.where(lettered, scores, 0.0), "rejected": odd | ~lettered,
-        })
+        made = [
+            pa.array(np.where(lettered, names, UNKNOWN), pa.string()), pa.array(np.where(lettered, scores, 0.0)),
+            pa.array(odd | ~lettered),
+        ]
+        return pa.StructArray.from_arrays(made, names=["lang_pred", "score", "rejected"])
 
     return rows.withColumn(guessed, guess(text, lettered)).select(*kept, f"{guessed}.*")
