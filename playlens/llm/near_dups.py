@@ -41,7 +41,7 @@ from .shingles import distinct, mix, shingles
 
 BANDS, ROWS = 25, 5
 SIMILARITY = 0.8
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 _STEP, _PLACE = 0x9E3779B97F4A7C15, np.uint64(0xC2B2AE3D27D4EB4F)
 
 
