@@ -7,7 +7,8 @@
    place's.  Two signatures agree in a place with the probability Jaccard similarity.
 3. Nodes that agree in all places of a band meet in a bucket.  A bucket is not unfolded into
    pairs: its pivot, the member that meets most nodes in all, is compared with the others; buckets
-   of one pivot are one group, and a group goes into that of a heavier pivot which met its own.  Members linked to the pivot are of one class.  A link
+   of one pivot are one group, and a group goes into that of a heavier pivot which met its own,
+   as far up as that leads.  Members linked to the pivot are of one class.  A link
    between members of which one is not linked to the pivot is searched for exactly:
    - If both share a shingle that the pivot lacks, they share one among the first few that each
      has (in order of hash; how few follows from the similarity).  Members that do form a
@@ -179,12 +180,26 @@ def _led(members: DataFrame, weights: DataFrame, by: str, leaders: int) -> DataF
 
 
 def _merged(members: DataFrame, weights: DataFrame) -> DataFrame:
-    """Groups whose pivot is a member of a heavier pivot's group become part of that one.  Pairs
-    that meet stay in a group together, and fewer pivots are compared."""
+    """Groups whose pivot is a member of a heavier pivot's group become part of that one, and so on
+    up to a pivot that no other holds.  Pairs that meet stay in a group together, and fewer
+    pivots are compared.
+
+    A pivot comes before its members in the order of weight, so this ends; each step doubles how
+    far a pivot has been followed.  Pairs move once, when all pivots have arrived.
+    """
     heavier = members.join(weights.withColumnRenamed("node", "pivot"), "pivot").groupBy(F.col("node").alias("pivot")).agg(
         F.max(F.struct("weight", F.xxhash64("pivot"), "pivot")).alias("top")
     )
-    moved = members.join(heavier, "pivot", "left").select(F.coalesce("top.pivot", "pivot").alias("pivot"), "node")
+    roots = members.select("pivot").distinct().join(heavier, "pivot", "left")
+    roots = written(roots.select("pivot", F.coalesce("top.pivot", "pivot").alias("root")), "roots")
+    while True:
+        above = roots.select(F.col("pivot").alias("root"), F.col("root").alias("far"))
+        new = roots.join(above, "root").select("pivot", F.col("far").alias("root"), (F.col("far") != F.col("root")).alias("moved"))
+        new = written(new, "roots")
+        roots = new.select("pivot", "root")
+        if new.filter("moved").isEmpty():
+            break
+    moved = members.join(roots, "pivot").select(F.col("root").alias("pivot"), "node")
     return moved.filter(F.col("node") != F.col("pivot")).distinct()
 
 
@@ -193,8 +208,7 @@ def links(meetings: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     weights = written(meetings.groupBy("node").agg(F.sum("size").alias("weight")), "weights")
     first = _led(meetings.select("bucket", "node"), weights, "bucket", 1)
     members = written(first.select("pivot", "node").distinct(), "members")
-    for _ in range(2):
-        members = written(_merged(members, weights), "members")
+    members = written(_merged(members, weights), "members")
     members = members.select(F.xxhash64("pivot").alias("group"), "pivot", "node", F.lit(True).alias("lead"), F.lit(True).alias("rest"))
     found, seen, leaders = [], members.select("group").limit(0), 1
     while True:

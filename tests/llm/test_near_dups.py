@@ -113,6 +113,18 @@ def test_components(spark, links):
     assert found == parent
 
 
+@pytest.mark.parametrize("length", [1, 5, 9])
+def test_pairs_stay_together_where_groups_merge_in_a_chain(spark, length):
+    # weights rise along the chain, so every pivot but the last is in a heavier pivot's group; only the first two are a link
+    names = [bytes([i]) for i in range(length + 1)]
+    rows = [(i, names[k], 1 + 10 * k) for i in range(length) for k in (i, i + 1)]
+    meetings = spark.createDataFrame(rows, "bucket long, node binary, size long")
+    held = [np.arange(50) + 1000 * max(1, i) for i in range(length + 1)]
+    sets = spark.createDataFrame([(n, h.astype(np.uint64).tobytes()) for n, h in zip(names, held)], "node binary, set binary")
+    found = {frozenset((bytes(r.pivot), bytes(r.node))) for r in near_dups.links(meetings, sets, 0.8).collect()}
+    assert found == {frozenset(names[:2])}
+
+
 def test_near_edits(documents, copies):
     rows = [(d * 3 - 40, t) for d, t in copies]
     found = {r.doc_id: r for r in fingerprints.near_edits(documents(rows)).collect()}
