@@ -4,8 +4,10 @@
 2. A node's five-word shingles, weighted by how often they occur, send arrivals of a Poisson
    process each, at the rate of their weight, to the signature's places.  A place keeps the
    shingle that arrives first; a shingle stops once its next arrival is later than every
-   place's.  Two signatures agree in a place with the probability Jaccard similarity.
-3. Nodes that agree in all places of a band meet in a bucket.  A bucket is not unfolded into
+   place's.  Two signatures agree in a place with the probability Jaccard similarity.  A text
+   that repeats shingles has a second signature with all weights 1: in that one, texts agree
+   with the Jaccard similarity of their shingle sets, however often each repeats its shingles.
+3. Nodes that agree in all places of a band, of either signature, meet in a bucket.  A bucket is not unfolded into
    pairs: its pivot, the member that meets most nodes in all, is compared with the others; buckets
    of one pivot are one group, and a group goes into that of a heavier pivot which met its own,
    as far up as that leads.  Members linked to the pivot are of one class.  A link
@@ -80,6 +82,28 @@ def _digest(text):
     return F.unhex(F.md5(F.col(text)))
 
 
+def buckets(texts: pa.Array, bands: int, rows: int) -> tuple[np.ndarray, pa.Array]:
+    """The number of distinct shingles of each text and the buckets it goes to.
+
+    They are the bands of its weighted signature and of one with all weights 1.  Only a text
+    that repeats some shingles more than others has further buckets from the second.
+    """
+    text, element, often = distinct(*shingles(texts))
+    sizes = np.bincount(text, minlength=len(texts)).astype(np.int32)
+    weight = 1 + np.log2(often)
+    weighted = band_hashes(signatures(text, element, weight, len(texts), bands * rows), bands, rows)
+    again = np.unique(text[often > 1])
+    some = np.isin(text, again)
+    place = np.searchsorted(again, text[some])
+    plain = band_hashes(signatures(place, element[some], np.ones(len(place)), len(again), bands * rows), bands, rows)
+    differs = plain != weighted[again]
+    owner = np.concatenate([np.repeat(np.flatnonzero(sizes), bands), np.repeat(again, differs.sum(axis=1))])
+    values = np.concatenate([weighted[sizes > 0].reshape(-1), plain[differs]])
+    offsets = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(texts)))]).astype(np.int32)
+    lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values[np.argsort(owner, kind="stable")].view(np.int64)))
+    return sizes, lists
+
+
 def _signed(rows: DataFrame, bands: int, rows_per_band: int) -> DataFrame:
     """``doc_id``, ``node``, ``n`` (distinct shingles) and ``bands`` of every document with a text."""
     schema = pa.schema([("doc_id", pa.int64()), ("node", pa.binary()), ("n", pa.int32()), ("bands", pa.list_(pa.int64()))])
@@ -87,17 +111,10 @@ def _signed(rows: DataFrame, bands: int, rows_per_band: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b in slices(batch.column("text"), SLICE_BYTES):
-                text, element, often = distinct(*shingles(batch.column("text")[a:b]))
-                weight = 1 + np.log2(often)
-                hashes = band_hashes(signatures(text, element, weight, b - a, bands * rows_per_band), bands, rows_per_band)
-                sizes = np.bincount(text, minlength=b - a).astype(np.int32)
-                offsets = np.concatenate([[0], np.cumsum(np.where(sizes > 0, bands, 0))]).astype(np.int32)
-                values = pa.array(hashes[sizes > 0].reshape(-1).view(np.int64))
+                sizes, lists = buckets(batch.column("text")[a:b], bands, rows_per_band)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id")[a:b], batch.column("node")[a:b], pa.array(sizes),
-                     pa.ListArray.from_arrays(pa.array(offsets), values)],
-                    schema=schema,
-                )
+                    [batch.column("doc_id")[a:b], batch.column("node")[a:b], pa.array(sizes), lists], schema=schema
+                )
 
     return rows.mapInArrow(run, "doc_id long, node binary, n int, bands array<long>")
 
@@ -292,8 +309,7 @@ def components(links: DataFrame) -> DataFrame:
 
 def _meetings(nodes: DataFrame) -> DataFrame:
     """``bucket``, ``node``, ``size`` of all buckets with more than one node."""
-    places = nodes.select("node", F.posexplode("bands").alias("band", "hash"))
-    places = places.select(F.xxhash64("band", "hash").alias("bucket"), "node")
+    places = nodes.select(F.explode("bands").alias("bucket"), "node")  # a hash tells its band
     shared = places.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     return written(places.join(written(shared, "buckets"), "bucket"), "meetings")
 

@@ -125,6 +125,18 @@ def test_pairs_stay_together_where_groups_merge_in_a_chain(spark, length):
     assert found == {frozenset(names[:2])}
 
 
+def test_equal_sets_meet_however_often_shingles_repeat():
+    draw = random.Random(11)
+    for n in range(40):
+        head, loop = [f"h{n}_{i}" for i in range(76)], [f"l{n}_{i}" for i in range(10)]
+        pair = [" ".join(head + loop * times + loop[:4]) for times in (1, draw.choice([400, 1000, 4000]))]
+        assert shingle_set(pair[0]) == shingle_set(pair[1])
+        sizes, lists = near_dups.buckets(pa.array([*pair, None, "one", pair[0]]), near_dups.BANDS, near_dups.ROWS)
+        a, b, none, one, again = lists.to_pylist()
+        assert sizes.tolist() == [86, 86, 0, 1, 86] and none == [] and len(one) == near_dups.BANDS and a == again
+        assert len(set(a)) == len(a) and len(set(b)) == len(b) and set(a) <= set(b)  # all bands of the plain signature
+
+
 def test_near_edits(documents, copies):
     rows = [(d * 3 - 40, t) for d, t in copies]
     found = {r.doc_id: r for r in fingerprints.near_edits(documents(rows)).collect()}
