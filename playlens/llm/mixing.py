@@ -4,10 +4,11 @@ A source's target is its share by weight of a total budget, but at most ``most``
 size; what a capped source cannot take is shared by weight among the others until none is
 above its cap.  A document's size is its number of words.  The budget of a source is met by
 taking every document of it as often as it fits, and for the rest of the budget some once
-more: a histogram counts the documents of each size, a share of every size is taken, largest
-sizes are added while they fit, and bounded-knapsack dynamic programming over the sizes fits
-what remains to the word if any subset does.  That gives how many documents of each size are
-taken; which ones is decided by a seeded hash of id and text.
+more: a histogram counts the documents of each size, a share of every size is taken, fractions
+of a document are dealt out by a seeded order, and bounded-knapsack dynamic programming over the
+sizes fits what remains to the word if any subset does: all of it up to ``FITTED_WORDS``, and the
+last words of a larger budget.  That gives how many documents of each size are taken; which
+ones is decided by a seeded hash of id and text.
 
 The histogram of one source is all that a task gathers: a row per different size.  Documents
 of one source and size, which may be very many, are cut by their hash into cells of about
@@ -22,6 +23,9 @@ any name.
 
 from __future__ import annotations
 
+import random
+
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,8 +37,9 @@ from .common import fresh, ship, written
 WEIGHTS, MOST = (5, 2, 1), 3
 #: Documents of one source and size that are ranked together, about.
 CELL_ROWS = 4_096
-#: Words of the remaining budget that dynamic programming fits.
-FITTED_WORDS = 1 << 16
+#: Words of the budget that dynamic programming fits: all of it, or of a larger budget as many
+#: as ``FITTING_WORK`` bit steps allow between these two, and four of the largest documents at least.
+FITTED_WORDS, MOST_FITTED_WORDS, FITTING_WORK = 1 << 20, 1 << 23, 1 << 32
 
 
 def words(text: Column) -> Column:
@@ -63,7 +68,7 @@ def targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int =
     return rows.select("source", "source_size", "weight", free.alias("target"))
 
 
-def fitted(sizes: list[int], counts: list[int], budget: int) -> dict[int, int]:
+def fitted(sizes: list[int], counts: list[int], budget: int, seed: int = 0) -> dict[int, int]:
     """How many of each size to take (``counts`` at most) so that their sum comes up to ``budget``.
 
     Sizes are positive and differ.  A share of every size keeps the lengths of the source;
@@ -72,50 +77,78 @@ def fitted(sizes: list[int], counts: list[int], budget: int) -> dict[int, int]:
     whole = sum(s * c for s, c in zip(sizes, counts))
     if whole <= budget:
         return dict(zip(sizes, counts))
-    taken = {s: c * budget // whole for s, c in zip(sizes, counts)}
+    parts = sorted(zip(sizes, counts))
+    draw = random.Random(seed)
+    taken = {s: c * budget // whole for s, c in parts}
+    spare = {s: c - taken[s] for s, c in parts}
     left = budget - sum(s * c for s, c in taken.items())
-    spare = {s: c - taken[s] for s, c in zip(sizes, counts)}
-    for size in sorted(spare, reverse=True):
-        if left <= FITTED_WORDS:
-            break
-        more = min(spare[size], (left - FITTED_WORDS) // size)
-        taken[size], spare[size], left = taken[size] + more, spare[size] - more, left - more * size
-    for size, count in knapsack(spare, min(left, FITTED_WORDS)).items():
+    documents = sum(spare.values())
+    room = max(FITTED_WORDS, 4 * parts[-1][0], min(MOST_FITTED_WORDS, FITTING_WORK // documents))
+    if left > room:
+        # of every run of neighbouring sizes its share, from a seeded start: misses by two of the largest at most
+        goal, total = left - room, sum(s * c for s, c in spare.items())
+        sum_, dealt, start = 0, 0, draw.randrange(total)
+        for size, _ in parts:
+            sum_ += goal * spare[size]
+            more = (sum_ + start) // total - dealt
+            dealt += more
+            taken[size], spare[size], left = taken[size] + more, spare[size] - more, left - more * size
+    # the nearer a size's share was to one more document, the earlier that comes
+    waits = {s: draw.expovariate(1.0) / (c * budget % whole or 0.5) for s, c in parts}
+    for size, count in knapsack(spare, left, sorted(spare, key=waits.get)).items():
         taken[size] += count
     return taken
 
 
-def knapsack(spare: dict[int, int], budget: int) -> dict[int, int]:
+def knapsack(spare: dict[int, int], budget: int, order: list[int] | None = None) -> dict[int, int]:
     """Counts up to ``spare`` whose sum is as near to ``budget`` as possible without exceeding it.
 
-    Bit s of a whole number says that the sum s can be reached.  A size's count is cut into
-    parts of 1, 2, 4 ... documents, so that each part is one shift; the reachable sums before
-    each part are kept to walk back.  It ends as soon as the budget itself is reached.
+    Bit s of a whole number says that the sum s can be reached.  One document of every size in
+    ``order`` (largest first by default) is a part, then what else there is of each in parts
+    of 1, 2, 4 ... documents, so that each part is one shift; the part that first reached a sum is kept to
+    walk back.  It ends as soon as the budget itself is reached, so early sizes are preferred.
     """
+    order = order or sorted(spare, reverse=True)
+    most = {s: min(spare[s], budget // s) for s in order}
+    parts = [(s, 1) for s in order if most[s]]
+    for size in order:
+        count, step = most[size] - 1, 1
+        while count > 0:
+            parts.append((size, min(step, count)))
+            count, step = count - step, step * 2
     mask, reach = (1 << budget + 1) - 1, 1
-    parts: list[tuple[int, int, int]] = []
-    for size in sorted(spare, reverse=True):
-        count, step = min(spare[size], budget // size), 1
-        while count > 0 and not reach >> budget & 1:
-            used = min(step, count)
-            parts.append((size, used, reach))
-            reach |= reach << used * size & mask
-            count, step = count - used, step * 2
+    first = np.zeros(budget + 1, np.int32)
+    for number, (size, used) in enumerate(parts):
+        if reach >> budget & 1:
+            break
+        added = reach << used * size & mask & ~reach
+        if added:
+            _mark(first, added, number)
+            reach |= added
     at, out = reach.bit_length() - 1, {}
-    for size, used, earlier in reversed(parts):
-        if not earlier >> at & 1:
-            out[size] = out.get(size, 0) + used
-            at -= used * size
+    while at:
+        size, used = parts[first[at]]
+        out[size] = out.get(size, 0) + used
+        at -= used * size
     return out
 
 
-def plan(histogram: DataFrame, sources: DataFrame) -> DataFrame:
+def _mark(first: np.ndarray, bits: int, number: int) -> None:
+    """``first[i] = number`` wherever bit i of ``bits`` is set."""
+    low = (bits & -bits).bit_length() - 1 >> 3
+    data = np.frombuffer((bits >> 8 * low).to_bytes((bits.bit_length() + 7 >> 3) - low, "little"), np.uint8)
+    some = np.flatnonzero(data)
+    where, bit = np.nonzero(np.unpackbits(data[some, None], axis=1, bitorder="little"))
+    first[8 * (some[where] + low) + bit] = number
+
+
+def plan(histogram: DataFrame, sources: DataFrame, seed: int = 0) -> DataFrame:
     """``p_source``, ``p_size``, ``n``, ``whole`` (times every document is taken) and ``extra``
     (how many are taken once more)."""
 
     def per_source(rows: pd.DataFrame) -> pd.DataFrame:
         some = rows[rows["p_size"] > 0]
-        taken = fitted(some["p_size"].tolist(), some["n"].tolist(), int(rows["budget"].iloc[0]))
+        taken = fitted(some["p_size"].tolist(), some["n"].tolist(), int(rows["budget"].iloc[0]), seed)
         rows = rows.assign(extra=[taken.get(s, 0) for s in rows["p_size"].tolist()])
         return rows[["p_source", "p_size", "n", "whole", "extra"]]
 
@@ -142,7 +175,7 @@ def choices(
     histogram = written(rows.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n")), "histogram")
     sources = histogram.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"))
     sources = written(targets(sources, weights, most), "targets")
-    planned = written(plan(histogram, sources), "plan")
+    planned = written(plan(histogram, sources, seed), "plan")
 
     rows = rows.join(planned, F.col("source").eqNullSafe(F.col("p_source")) & (F.col("size") == F.col("p_size")))
     cells = F.ceil(F.col("n") / CELL_ROWS)

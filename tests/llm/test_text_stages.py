@@ -128,6 +128,36 @@ def test_fitted_budgets():
             assert got <= budget and (got == min(budget, whole) or budget < 200 or min(sizes) > 100)
 
 
+def test_long_documents_fill_the_budget():
+    assert mixing.fitted([300_000, 200_000, 100_000], [1, 1, 1], 310_000) in ({300_000: 1, 200_000: 0, 100_000: 0}, {300_000: 0, 200_000: 1, 100_000: 1})
+    draw = random.Random(3)
+    for n in (6, 20, 60):
+        for _ in range(5):
+            sizes = draw.sample(range(70_000, 140_001), n)
+            budget = sum(sizes) * draw.randrange(30, 70) // 100
+            reach = 1
+            for s in sizes:
+                reach |= reach << s
+            best = (reach & (1 << budget + 1) - 1).bit_length() - 1
+            taken = mixing.fitted(sizes, [1] * n, budget)
+            assert all(0 <= t <= 1 for t in taken.values()) and sum(s * t for s, t in taken.items()) == best
+        assert n == 6 or budget - best < budget // 100
+
+
+def test_sizes_that_occur_once_keep_their_share():
+    sizes = random.Random(4).sample(range(1, 400_001), 300)
+    budget = sum(sizes) // 2
+    whole = []
+    for seed in range(4):
+        taken = mixing.fitted(sizes, [1] * 300, budget, seed)
+        assert sum(s * t for s, t in taken.items()) == budget
+        whole.append(tuple(taken[s] for s in sizes))
+        order = sorted(sizes)
+        for a in range(0, 300, 100):  # short, middle and long ones
+            assert 25 <= sum(taken[s] for s in order[a : a + 100]) <= 75
+    assert len(set(whole)) > 1 and mixing.fitted(sizes, [1] * 300, budget, 3) == taken
+
+
 @pytest.fixture(scope="module")
 def sources():
     draw = random.Random(8)
