@@ -249,6 +249,17 @@ def test_far_texts_are_rejected(spark, tongues):
     assert found == {1: True, 2: False}
 
 
+@pytest.mark.parametrize("n", [170, 3_000, 20_000])
+def test_texts_of_no_language_are_rejected(spark, tongues, n):
+    draw = random.Random(n)
+    scripts = {"latin": "abcdefghijklmnopqrstuvwxyz    ", "cjk": [chr(0x4E00 + i) for i in range(3000)], "cyrillic": [chr(0x430 + i) for i in range(32)] + [" "] * 5}
+    scripts["mixed"] = [chr(0x3B1 + i) for i in range(24)] + [chr(0x628 + i) for i in range(18)] + [" "] * 6
+    scripts["base64"] = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    odd = [(5000 + i, "".join(draw.choices(signs, k=n)), None) for i, signs in enumerate(scripts.values())]
+    found = language_id.predict(frame(spark, tongues + odd), language_id.learn(frame(spark, tongues))).collect()
+    assert {r.doc_id for r in found if r.rejected} == {d for d, _, _ in odd}
+
+
 def test_sample_is_bounded(spark, tongues):
     assert language_id.learn(frame(spark, tongues), sample_rows=9).centroids.shape[0] <= 9
 
