@@ -16,9 +16,11 @@ from . import (
     line_dedup,
     mixing,
     near_dups,
+    quality,
     token_counts,
     token_files,
     topk,
+    trie,
 )
 from .common import scratch_path
 
@@ -82,10 +84,20 @@ def op10_near_dups(spark: SparkSession, folder: str) -> DataFrame:
     return near_dups.classes(_table(spark, folder, "documents")).select("doc_id", "class_id", "class_size", "n_texts")
 
 
+def op12_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    found = quality.score(docs, quality.learn(docs, _table(spark, folder, "labels")))
+    return found.select("doc_id", quality.held_out().alias("held_out"), "score", "predicted")
+
+
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return trie.trie(*trie.rebuilt(_table(spark, folder, "conversations")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_chat, op2_mixing, op3_token_files, op4_line_dedup, op5_fingerprints, op6_bpe, op7_language_id, op8_top_k,
-        op9_token_counts, op10_near_dups,
+        op9_token_counts, op10_near_dups, op12_quality, op13_prefix_trie,
     )
 }
 ORACLES: dict[str, str] = {
@@ -147,4 +159,37 @@ ORACLES: dict[str, str] = {
         )
         SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
     """,
+    # crc32 by its table of 256 remainders; every node as the list of its turns
+    "op13_prefix_trie": """
+        WITH RECURSIVE bits(i, v, k) AS (
+            SELECT range::BIGINT, range::BIGINT, 0 FROM range(256)
+            UNION ALL SELECT i, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, k + 1 FROM bits WHERE k < 8
+        ), tab AS (SELECT list(v ORDER BY i) AS t FROM bits WHERE k = 8
+        ), own AS (
+            SELECT conv_id, list({'r': coalesce(role, ''), 't': coalesce(text, '')}
+                ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS a
+            FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+        ), h AS (
+            SELECT conv_id, a, xor(list_reduce(
+                list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+                lambda x, y: xor(x >> 8, t[(xor(x, y) & 255) + 1])), 4294967295) % 6 AS h
+            FROM own, tab
+        ), c AS (
+            SELECT h.conv_id, list_concat(coalesce(b.a[:h.h], []), h.a[h.h + 1:]) AS a
+            FROM h LEFT JOIN own b ON b.conv_id = h.conv_id - h.conv_id % 100
+        ), m AS (SELECT conv_id, len(a) AS n, a, unnest(range(len(a) + 1)) AS depth FROM c
+        ), n AS (
+            SELECT a[:depth] AS p, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+                sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (n = depth), '')) AS ends_sha256
+            FROM m GROUP BY ALL
+        ), w AS (
+            SELECT n.*, u.conv_id AS parent_conv_id,
+                (SELECT count(*) FROM n k WHERE k.depth = n.depth + 1 AND k.p[:n.depth] = n.p) AS n_children,
+                CASE WHEN n.depth = 0 THEN 0 ELSE (n.n_convs - 1) * length(n.p[n.depth].t) END AS saved
+            FROM n LEFT JOIN n u ON u.depth = n.depth - 1 AND u.p = n.p[:n.depth - 1]
+        ), up AS (SELECT p[:d] AS p, saved, n_children FROM (SELECT *, unnest(range(depth + 1)) AS d FROM w)
+        ), s AS (SELECT p, sum(saved)::BIGINT AS saved_tokens, count(*) FILTER (n_children = 0) AS n_leaves FROM up GROUP BY p)
+        SELECT conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256
+        FROM w JOIN s USING (p)
+    """,
 }

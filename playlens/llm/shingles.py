@@ -36,7 +36,7 @@ def _powers(n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
-def _words(data: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(data: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hash and first byte of each word; ``begins``: first bytes of texts, where words end."""
     blank = (data == 32) | ((data >= 9) & (data <= 13))
     fresh = np.empty(len(data), bool)
@@ -54,7 +54,7 @@ def _words(data: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return mix(hashes + _GOLDEN), first
 
 
-def _steps(data: np.ndarray, begins: np.ndarray) -> Iterator[tuple[int, int]]:
+def steps(data: np.ndarray, begins: np.ndarray) -> Iterator[tuple[int, int]]:
     """Cuts the bytes before a word: behind white space or where a text begins."""
     at = 0
     while at < len(data):
@@ -83,9 +83,9 @@ def shingles(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     data = np.frombuffer(raw, np.uint8)[offsets[0] : offsets[-1]] if raw is not None else np.empty(0, np.uint8)
     begins = offsets[:-1] - offsets[0]
     hashes, firsts = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
-    for a, b in _steps(data, begins):
+    for a, b in steps(data, begins):
         inside = begins[(begins >= a) & (begins < b)] - a
-        found, first = _words(data[a:b], inside)
+        found, first = word_hashes(data[a:b], inside)
         hashes.append(found)
         firsts.append(first + a)
     words, first = np.concatenate(hashes), np.concatenate(firsts)

@@ -29,7 +29,7 @@ def test_matches_sql(spark, folder, name):
 def test_all_are_registered():
     names = set(contract.queries())
     assert set(QUERIES) | {"pipeline"} <= names
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 14)}
 
 
 def test_mixing(spark, folder, docs):
