@@ -12,6 +12,7 @@ from . import (
     bpe,
     chat,
     fingerprints,
+    hard_negatives,
     language_id,
     line_dedup,
     mixing,
@@ -84,6 +85,12 @@ def op10_near_dups(spark: SparkSession, folder: str) -> DataFrame:
     return near_dups.classes(_table(spark, folder, "documents")).select("doc_id", "class_id", "class_size", "n_texts")
 
 
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = _table(spark, folder, "embeddings").select("vec_id", label.alias("label"), "embedding")
+    return hard_negatives.mine(rows)
+
+
 def op12_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
     found = quality.score(docs, quality.learn(docs, _table(spark, folder, "labels")))
@@ -97,7 +104,7 @@ def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_chat, op2_mixing, op3_token_files, op4_line_dedup, op5_fingerprints, op6_bpe, op7_language_id, op8_top_k,
-        op9_token_counts, op10_near_dups, op12_quality, op13_prefix_trie,
+        op9_token_counts, op10_near_dups, op11_hard_negatives, op12_quality, op13_prefix_trie,
     )
 }
 ORACLES: dict[str, str] = {
@@ -159,6 +166,28 @@ ORACLES: dict[str, str] = {
         )
         SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
     """,
+    "op11_hard_negatives": """
+        WITH v AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS a
+            FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), s AS (
+            SELECT q.vec_id AS anchor_id, c.vec_id AS other, q.label = c.label AS same, list_inner_product(q.a, c.a)::BIGINT AS score
+            FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % 100 = 0
+        ), p AS (
+            SELECT anchor_id, other AS positive_id, score AS positive_score,
+                row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) AS place
+            FROM s WHERE same
+        ), n AS (
+            SELECT p.anchor_id, positive_id, positive_score, s.other AS negative_id, s.score AS negative_score,
+                row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.other) AS rank
+            FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same
+             AND 30 * positive_score <= 100 * s.score AND 100 * s.score <= 90 * positive_score
+            WHERE place <= 5
+        )
+        SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10
+    """,
     # crc32 by its table of 256 remainders; every node as the list of its turns
     "op13_prefix_trie": """
         WITH RECURSIVE bits(i, v, k) AS (
