@@ -111,7 +111,7 @@ def test_descent_skips_clusters(monkeypatch):
     ordered, ids = values[tree.rows], tree.rows
     seen = []
     whole = hn.exact
-    monkeypatch.setattr(hn, "exact", lambda v, q: (seen.append(len(v)), whole(v, q))[1])
+    monkeypatch.setattr(hn, "exact", lambda v, q, peak: (seen.append(len(v)), whole(v, q, peak))[1])
     for q in values[::400]:
         scores = (values @ q).astype(int)
         best = sorted(zip((-scores).tolist(), range(len(values))))[:5]
