@@ -41,9 +41,9 @@ from .common import ship, written
 BLOCK_ROWS = 8_192
 CHUNK_ANCHORS = 2_048
 SAMPLE_ROWS, CELLS = 2_048, 64
-FAN, LEAF = 32, 256
+FAN, LEAF = 32, 128
 #: Leaves that are scored at first, best ones first; later steps take four times as many each.
-STRIDE = 8
+STRIDE = 2
 
 
 def spread_centres(points: np.ndarray, most: int, near: float = 0.0) -> tuple[list[int], np.ndarray, np.ndarray]:
