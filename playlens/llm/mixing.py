@@ -7,8 +7,11 @@ taking every document of it as often as it fits, and for the rest of the budget
 more: a histogram counts the documents of each size, a share of every size is taken, fractions
 of a document are dealt out by a seeded order, and bounded-knapsack dynamic programming over the
 sizes fits what remains to the word if any subset does: all of it up to ``FITTED_WORDS``, and the
-last words of a larger budget.  That gives how many documents of each size are taken; which
-ones is decided by a seeded hash of id and text.
+last words of a larger budget.  Where no subset does, as in a source of a few documents, some
+copies are given back and the budget is fitted anew with up to ``most`` copies of each document,
+to the nearest sum above or below.  That gives how many copies of each size are taken; the
+documents of a size share them evenly, and which ones get one more is decided by a seeded hash
+of id and text.
 
 The histogram of one source is all that a task gathers: a row per different size.  Documents
 of one source and size, which may be very many, are cut by their hash into cells of about
@@ -100,8 +103,33 @@ def fitted(sizes: list[int], counts: list[int], budget: int, seed: int = 0) -> d
     return taken
 
 
-def knapsack(spare: dict[int, int], budget: int, order: list[int] | None = None) -> dict[int, int]:
-    """Counts up to ``spare`` whose sum is as near to ``budget`` as possible without exceeding it.
+def refitted(counts: dict[int, int], copies: dict[int, int], left: int, most: int = MOST, seed: int = 0) -> dict[int, int]:
+    """``copies`` by size changed so that their sum comes nearer to one that is ``left`` more, if any can.
+
+    Documents give back one copy each, in a seeded order of their sizes until sixteen of the largest are free;
+    the sum of all that is then missing is fitted with up to ``most`` copies of each document.  Where that
+    does not meet the sum, they give back two, and so on."""
+    draw = random.Random(seed)
+    order = sorted(counts, key=lambda s: (draw.random(), s))
+    goal, best = left + sum(s * k for s, k in copies.items()), copies
+    for depth in range(1, most + 1):
+        kept, freed = dict(copies), 0
+        for size in order:
+            if freed < 16 * depth * max(counts):
+                back = min(kept[size], depth * counts[size], -(-16 * depth * max(counts) // size))
+                kept[size], freed = kept[size] - back, freed + back * size
+        added = knapsack({s: most * counts[s] - kept[s] for s in order}, left + freed, order, over=left)
+        found = {s: kept[s] + added.get(s, 0) for s in counts}
+        miss = lambda c: abs(goal - sum(s * k for s, k in c.items()))
+        if miss(found) < miss(best):
+            best = found
+        if not miss(best):
+            break
+    return best
+
+
+def knapsack(spare: dict[int, int], budget: int, order: list[int] | None = None, over: int = 0) -> dict[int, int]:
+    """Counts up to ``spare`` whose sum is as near to ``budget`` as possible without exceeding it by more than ``over``.
 
     Bit s of a whole number says that the sum s can be reached.  One document of every size in
     ``order`` (largest first by default) is a part, then what else there is of each in parts
@@ -109,15 +137,16 @@ def knapsack(spare: dict[int, int], budget: int, order: list[int] | None = None)
     walk back.  It ends as soon as the budget itself is reached, so early sizes are preferred.
     """
     order = order or sorted(spare, reverse=True)
-    most = {s: min(spare[s], budget // s) for s in order}
+    last = budget + over
+    most = {s: min(spare[s], last // s) for s in order}
     parts = [(s, 1) for s in order if most[s]]
     for size in order:
         count, step = most[size] - 1, 1
         while count > 0:
             parts.append((size, min(step, count)))
             count, step = count - step, step * 2
-    mask, reach = (1 << budget + 1) - 1, 1
-    first = np.zeros(budget + 1, np.int32)
+    mask, reach = (1 << last + 1) - 1, 1
+    first = np.zeros(last + 1, np.int32)
     for number, (size, used) in enumerate(parts):
         if reach >> budget & 1:
             break
@@ -125,7 +154,10 @@ def knapsack(spare: dict[int, int], budget: int, order: list[int] | None = None)
         if added:
             _mark(first, added, number)
             reach |= added
-    at, out = reach.bit_length() - 1, {}
+    at, out = (reach & (1 << budget + 1) - 1).bit_length() - 1, {}
+    above = reach >> budget
+    if above and (more := (above & -above).bit_length() - 1) < budget - at:
+        at = budget + more
     while at:
         size, used = parts[first[at]]
         out[size] = out.get(size, 0) + used
@@ -142,14 +174,20 @@ def _mark(first: np.ndarray, bits: int, number: int) -> None:
     first[8 * (some[where] + low) + bit] = number
 
 
-def plan(histogram: DataFrame, sources: DataFrame, seed: int = 0) -> DataFrame:
-    """``p_source``, ``p_size``, ``n``, ``whole`` (times every document is taken) and ``extra``
+def plan(histogram: DataFrame, sources: DataFrame, most: int = MOST, seed: int = 0) -> DataFrame:
+    """``p_source``, ``p_size``, ``n``, ``whole`` (times every document of the size is taken) and ``extra``
     (how many are taken once more)."""
 
     def per_source(rows: pd.DataFrame) -> pd.DataFrame:
         some = rows[rows["p_size"] > 0]
-        taken = fitted(some["p_size"].tolist(), some["n"].tolist(), int(rows["budget"].iloc[0]), seed)
-        rows = rows.assign(extra=[taken.get(s, 0) for s in rows["p_size"].tolist()])
+        counts = dict(zip(some["p_size"].tolist(), some["n"].tolist()))
+        whole, budget = int(rows["whole"].iloc[0]), int(rows["budget"].iloc[0])
+        copies = {s: whole * counts[s] + k for s, k in fitted(list(counts), list(counts.values()), budget, seed).items()}
+        left = budget + sum(s * (whole * c - copies[s]) for s, c in counts.items())
+        if left and counts:
+            copies = refitted(counts, copies, left, most, seed)
+        each = [divmod(copies[s], n) if s in copies else (whole, 0) for s, n in zip(rows["p_size"].tolist(), rows["n"].tolist())]
+        rows = rows.assign(whole=[x for x, _ in each], extra=[x for _, x in each])
         return rows[["p_source", "p_size", "n", "whole", "extra"]]
 
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
@@ -175,7 +213,7 @@ def choices(
     histogram = written(rows.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n")), "histogram")
     sources = histogram.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"))
     sources = written(targets(sources, weights, most), "targets")
-    planned = written(plan(histogram, sources, seed), "plan")
+    planned = written(plan(histogram, sources, most, seed), "plan")
 
     rows = rows.join(planned, F.col("source").eqNullSafe(F.col("p_source")) & (F.col("size") == F.col("p_size")))
     cells = F.ceil(F.col("n") / CELL_ROWS)

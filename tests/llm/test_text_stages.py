@@ -6,6 +6,7 @@ import hashlib
 import random
 import zlib
 from collections import Counter
+from itertools import product
 
 import numpy as np
 import pyarrow as pa
@@ -144,6 +145,22 @@ def test_long_documents_fill_the_budget():
         assert n == 6 or budget - best < budget // 100
 
 
+def test_small_sources_use_up_to_three_copies():
+    draw = random.Random(1)
+    for _ in range(150):
+        counts = {s: draw.randrange(1, 3) for s in draw.sample(range(1, 60), draw.randrange(1, 5))}
+        whole, size = draw.randrange(3), sum(s * c for s, c in counts.items())
+        budget = draw.randrange(size + 1)
+        copies = {s: whole * counts[s] + k for s, k in mixing.fitted(list(counts), list(counts.values()), budget).items()}
+        goal = whole * size + budget
+        left = goal - sum(s * k for s, k in copies.items())
+        copies = mixing.refitted(counts, copies, left) if left else copies
+        assert all(0 <= copies[s] <= 3 * c for s, c in counts.items())
+        every = product(*[range(3 * c + 1) for c in counts.values()])
+        nearest = min(abs(goal - sum(s * k for s, k in zip(counts, ks))) for ks in every)
+        assert abs(goal - sum(s * k for s, k in copies.items())) == nearest
+
+
 def test_sizes_that_occur_once_keep_their_share():
     sizes = random.Random(4).sample(range(1, 400_001), 300)
     budget = sum(sizes) // 2
