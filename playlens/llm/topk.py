@@ -13,12 +13,16 @@ the blocks are merged per query.
 Rows without id, and vectors that are null or hold a null or non-finite component take no
 part.  A shorter vector counts as filled up with zeros.  Rows equal in id and vector are one
 candidate that takes as many ranks.  A row never finds a row of its own id.  Fewer candidates
-than k give fewer rows; an empty table gives none.  Quantised components beyond 2^31, whose
-scores might not fit a long, raise an error.  Other columns are ignored.
+than k give fewer rows; an empty table gives none.  Rows with a quantised component of 2^31 or
+more stand in blocks of their own, without slices; they, and such rows as queries, are scored row
+by row in whole numbers of any size.  A score that is returned and does not fit a long raises an
+error.  Other columns are ignored.
 """
 
 from __future__ import annotations
 
+import heapq
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -29,6 +33,8 @@ from .common import ship, written
 
 BLOCK_ROWS = 16_384
 CHUNK_QUERIES = 512
+#: Quantised components this far from zero, or farther, are not sliced.
+WIDE = 2**31
 FULL = np.uint64(2**64 - 1)
 
 
@@ -122,6 +128,16 @@ def search_block(index: np.ndarray, least: np.ndarray, values: np.ndarray, ids:
         yield own, best, values[best] @ weights
 
 
+def search_wide(values: np.ndarray, ids: np.ndarray, query: np.ndarray, own: int, k: int) -> tuple[list[int], list[int], list[bool]]:
+    """Row numbers and scores of the best rows, ties to lower ids; whole numbers held as doubles.  ``ids`` ascend.
+    A score that does not fit a long is the nearest one that does, and marked."""
+    whole = [int(x) for x in query.tolist()]
+    scored = [(-sum(int(x) * y for x, y in zip(row, whole)), i) for i, row in enumerate(values.tolist()) if ids[i] != own]
+    best = heapq.nsmallest(k, scored)
+    fit = [min(max(-s, -(2**63)), 2**63 - 1) for s, _ in best]
+    return [i for _, i in best], fit, [-s != f for (s, _), f in zip(best, fit)]
+
+
 def usable(df: DataFrame, id_column: str, vector_column: str) -> DataFrame:
     """``vec_id``, ``vector`` (doubles) and ``copies`` of the rows that take part."""
     rows = df.select(F.col(id_column).cast("long").alias("vec_id"), F.col(vector_column).cast("array<double>").alias("vector"))
@@ -138,34 +154,34 @@ def top_k(
     ship(df.sparkSession)
     rows = written(usable(df, id_column, vector_column), "vectors")
     is_query = F.col("vec_id") % every == 0
-    n, asked, dims = rows.agg(
-        F.count(F.lit(1)), F.count(F.when(is_query, 1)), F.coalesce(F.max(F.size("vector")), F.lit(0))
+    is_wide = F.exists("vector", lambda x: (x * scale >= WIDE) | (x * scale < -WIDE))
+    n, n_wide, asked, dims = rows.agg(
+        F.count(F.lit(1)), F.count_if(is_wide), F.count(F.when(is_query, 1)), F.coalesce(F.max(F.size("vector")), F.lit(0))
     ).first()
-    blocks, chunks = max(1, -(-n // block_rows)), max(1, -(-asked // chunk_queries))
+    narrow = max(1, -(-(n - n_wide) // block_rows))
+    blocks, chunks = narrow + -(-n_wide // block_rows), max(1, -(-asked // chunk_queries))
     width = max(1, dims)
 
     def quantised(vectors: pd.Series) -> np.ndarray:
-        out = np.zeros((len(vectors), width), np.int64)
+        out = np.zeros((len(vectors), width))
         for i, v in enumerate(vectors):
-            whole = np.floor(scale * np.asarray(v, float))
-            if len(whole) and np.abs(whole).max() >= 2**31:
-                raise ValueError("a quantised component does not fit 32 bits")
-            out[i, : len(whole)] = whole
+            out[i, : len(v)] = np.floor(scale * np.asarray(v, float))
         return out
 
     def build(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("vec_id")
-        values = quantised(rows.vector)
-        index, least = slices_of(values)
+        values, wide = quantised(rows.vector), bool(rows.block.iloc[0] >= narrow)
+        index, least = (np.zeros((width, 0, 0), np.uint64), np.zeros(0, np.int64)) if wide else slices_of(values.astype(np.int64))
         return pd.DataFrame({
             "block": [rows.block.iloc[0]], "digits": [index.shape[1]], "ids": [rows.vec_id.to_numpy(np.int64).tobytes()],
-            "copies": [rows.copies.to_numpy(np.int64).tobytes()], "vals": [values.astype(np.int32).tobytes()],
-            "slices": [index.tobytes()], "least": [least.tobytes()],
+            "copies": [rows.copies.to_numpy(np.int64).tobytes()], "vals": [(values if wide else values.astype(np.int32)).tobytes()],
+            "slices": [index.tobytes()], "least": [least.tobytes()], "wide": [wide],
         })
 
-    index = rows.withColumn("block", F.pmod(F.xxhash64("vec_id", "vector"), F.lit(blocks)).cast("int"))
-    index = index.groupBy("block").applyInPandas(
-        build, "block int, digits int, ids binary, copies binary, vals binary, slices binary, least binary"
+    place = F.xxhash64("vec_id", "vector")
+    block = F.when(is_wide, narrow + F.pmod(place, F.lit(max(1, blocks - narrow)))).otherwise(F.pmod(place, F.lit(narrow)))
+    index = rows.withColumn("block", block.cast("int")).groupBy("block").applyInPandas(
+        build, "block int, digits int, ids binary, copies binary, vals binary, slices binary, least binary, wide boolean"
     )
     index = written(index, "bit-slices")
     questions = rows.filter(is_query).select("vec_id", "vector").withColumn(
@@ -178,20 +194,27 @@ def top_k(
         if len(index) and len(questions):
             one = index.iloc[0]
             ids, copies = np.frombuffer(one["ids"], np.int64), np.frombuffer(one["copies"], np.int64)
-            values = np.frombuffer(one["vals"], np.int32).reshape(len(ids), width).astype(np.int64)
-            bits = np.frombuffer(one["slices"], np.uint64).reshape(width, int(one["digits"]), -1)
-            least = np.frombuffer(one["least"], np.int64)
-            asked = quantised(questions.vector)
-            for own, best, score in search_block(bits, least, values, ids, asked, questions.vec_id.to_numpy(), k):
-                found.append(pd.DataFrame({"query_id": own, "vec_id": ids[best], "score": score, "copies": copies[best]}))
-        return pd.concat(found) if found else pd.DataFrame(columns=["query_id", "vec_id", "score", "copies"])
+            wide = bool(one["wide"])
+            values = np.frombuffer(one["vals"], np.float64 if wide else np.int32).reshape(len(ids), width)
+            asked, own = quantised(questions.vector), questions.vec_id.to_numpy()
+            far = np.abs(asked).max(axis=1) >= WIDE if not wide else np.ones(len(asked), bool)
+            for query, q in zip(asked[far], own[far].tolist()):
+                best, score, over = search_wide(values.astype(float), ids, query, q, k)
+                found.append(pd.DataFrame({"query_id": q, "vec_id": ids[best], "score": np.array(score, np.int64), "copies": copies[best], "over": over}))
+            if not far.all():
+                bits = np.frombuffer(one["slices"], np.uint64).reshape(width, int(one["digits"]), -1)
+                least, whole = np.frombuffer(one["least"], np.int64), asked[~far].astype(np.int64)
+                for q, best, score in search_block(bits, least, values.astype(np.int64), ids, whole, own[~far], k):
+                    found.append(pd.DataFrame({"query_id": q, "vec_id": ids[best], "score": score, "copies": copies[best], "over": False}))
+        return pd.concat(found) if found else pd.DataFrame(columns=["query_id", "vec_id", "score", "copies", "over"])
 
     meeting = index.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1)))).groupBy("block", "chunk")
     tops = meeting.cogroup(questions.groupBy("block", "chunk")).applyInPandas(
-        search, "query_id long, vec_id long, score long, copies long"
+        search, "query_id long, vec_id long, score long, copies long, over boolean"
     )
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     best = tops.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= k)
     each = best.withColumn("copy", F.explode(F.sequence(F.lit(1), F.least("copies", F.lit(k)).cast("int"))))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id", "copy"))
-    return each.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    score = F.when(F.col("over"), F.raise_error(F.lit("a score does not fit a long")).cast("long")).otherwise(F.col("score"))
+    return each.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", score.alias("score"))

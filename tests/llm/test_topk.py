@@ -68,3 +68,14 @@ def test_slices_add_up(scale):
     for k in (1, 7, 129, 130, 500):
         best = topk.top(slices, topk.bitmap(np.ones((1, 130), np.uint8))[0], 130, k)
         assert sorted(best) == sorted(sorted(range(130), key=lambda i: (-exact[i], i))[:k])
+
+
+def test_wide_components(spark, vectors):
+    rows = [*vectors, (1000, [1e9, 1.0], ), (1001, [-3e8, 0.5]), (1020, [1e9, -1e9, 2.0])]
+    small = [r for r in rows if r[0] is not None and (r[0] < 40 or r[0] >= 1000)]
+    narrow = [(i, v) for i, v in small if i != 1020]
+    assert found(spark, narrow, k=5, every=20) == brute(narrow, 5, 20)
+    with pytest.raises(Exception, match="does not fit a long"):
+        found(spark, small, k=5, every=20)
+    far = [(0, [0.5, 0.5]), (20, [1e9, -1e9]), (21, [1.0, 2.0]), (22, [3.0, -2.0])]
+    assert found(spark, far, k=2, every=20) == brute(far, 2, 20)
