@@ -264,9 +264,9 @@ def mine(
                     usable = (ids != anchor.vec_id) & ((labels == anchor.label) == same_label)
                     windows = wanted(anchor)
                     best = best_in_windows(tree, values, ids, usable, query, [w for _, w in windows], k)
-                    out += [(anchor.vec_id, anchor.h, *key, s, i) for (key, _), rows in zip(windows, best) for s, i in rows]
-            if any(not -(2**63) <= x < 2**63 for row in out for x in row):
-                raise OverflowError("a score does not fit a long")
+                    for (key, _), rows in zip(windows, best):
+                        fit = [min(max(s, -(2**63)), 2**63 - 1) for s, _ in rows]
+                        out += [(anchor.vec_id, anchor.h, *key, f, i, f != s) for f, (s, i) in zip(fit, rows)]
             return pd.DataFrame(out, columns=[c.split()[0] for c in columns.split(", ")])
 
         meeting = index.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1)))).groupBy("block", "chunk")
@@ -275,9 +275,10 @@ def mine(
 
     # every anchor meets every block until it knows its positives
     everywhere = anchors.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    near = meet(everywhere, lambda _: [((), (None, None))], positives, True, "vec_id long, h long, score long, other long")
+    near = meet(everywhere, lambda _: [((), (None, None))], positives, True, "vec_id long, h long, score long, other long, over boolean")
     order = Window.partitionBy("vec_id", "h").orderBy(F.desc("score"), "other")
-    near = near.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= positives)
+    score = F.when(F.col("over"), F.raise_error(F.lit("a score does not fit a long")).cast("long")).otherwise(F.col("score"))
+    near = near.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= positives).withColumn("score", score)
     known = near.groupBy("vec_id", "h").agg(F.sort_array(F.collect_list(F.struct("place", "other", "score"))).alias("found"))  # at most ``positives``
     known = written(anchors.join(known, ["vec_id", "h"]), "positives")
 
@@ -302,10 +303,10 @@ def mine(
         return [(key, (a, b)) for key, (a, b) in windows if a <= b]
 
     asking = known.withColumn("block", F.explode(reached("vector", "found")))
-    columns = "vec_id long, h long, place int, positive_id long, positive_score long, score long, other long"
+    columns = "vec_id long, h long, place int, positive_id long, positive_score long, score long, other long, over boolean"
     hard = meet(asking, wanted, negatives, False, columns)
     order = Window.partitionBy("vec_id", "h", "place").orderBy(F.desc("score"), "other")
     hard = hard.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= negatives)
     return hard.select(
-        F.col("vec_id").alias("anchor_id"), "positive_id", "rank", F.col("other").alias("negative_id"), "positive_score", F.col("score").alias("negative_score"),
+        F.col("vec_id").alias("anchor_id"), "positive_id", "rank", F.col("other").alias("negative_id"), "positive_score", score.alias("negative_score"),
     )
