@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from .common import NO_ID, ship, slices
 from .shingles import HASH_BITS, distinct, shingles
 
-FRACTION = 0.125
+FRACTION = 0.5
 SLICE_BYTES = 2 << 20
 _DIGITS = HASH_BITS // 4
 
