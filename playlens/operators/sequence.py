@@ -7,7 +7,9 @@ wider chunks where there may be many, and joined back on (session, chunk).  A ta
 at most ``CHUNK_WIDTH`` values of the order column, or chunks, of one session, however sparse
 the values are.
 
-A NULL in a key is a key of its own.  Rows whose order value is NULL come first.  Rows of one
+A NULL in a key is a key of its own; keys are made free of NULLs once, so that the join back
+uses the partitioning of the windows and each pass shuffles the rows once, or not at all if
+the rows come from a pass over the same keys and chunks.  Rows whose order value is NULL come first.  Rows of one
 order value are ordered by their other columns, so running values do not depend on placement;
 rows that equal each other get different values in any order.
 """
@@ -111,8 +113,22 @@ class GroupMin(Running):
         return carried
 
 
-def chunk(df: DataFrame, order: str, width: int = CHUNK_WIDTH) -> DataFrame:
-    return df.withColumn(CHUNK, F.floor(F.col(order) / width))
+#: Chunk of the rows without an order value, before all others.
+NO_ORDER = -(2**62)
+
+
+def chunk(df: DataFrame, order: str, width: int = CHUNK_WIDTH, keys: list[str] | None = None) -> DataFrame:
+    """Adds the chunk and the NULL-free form of the keys, unless the frame has them."""
+    added = {} if CHUNK in df.columns else {CHUNK: F.coalesce(F.floor(F.col(order) / width), F.lit(NO_ORDER))}
+    for key in keys or []:
+        if df.schema[key].nullable and f"_key_{key}" not in df.columns:
+            added[f"_key_{key}"] = F.coalesce(F.col(key).cast("string"), F.lit(""))
+            added[f"_null_{key}"] = F.col(key).isNull()
+    return df.withColumns(added) if added else df
+
+
+def _null_free(df: DataFrame, keys: list[str]) -> list[str]:
+    return [name for key in keys for name in ([f"_key_{key}", f"_null_{key}"] if f"_key_{key}" in df.columns else [key])]
 
 
 def _comparable(kind: T.DataType) -> bool:
@@ -132,12 +148,13 @@ def with_running(
     often rows are cut into chunks: two levels of 2^16 leave 2^16 chunks of a session to one task
     for order values of up to 48 bits; give a third for wider ones.
     """
-    chunked = df if CHUNK in df.columns else chunk(df, order, width)
-    return _running(chunked, CHUNK, keys, order, state, width, levels).select(*df.columns, *state)
+    chunked = chunk(df, order, width, keys)
+    return _running(chunked, CHUNK, _null_free(chunked, keys), order, state, width, levels).select(*df.columns, *state)
 
 
 def _running(df: DataFrame, part: str | None, keys, order, state, width, levels) -> DataFrame:
-    ties = [f.name for f in df.schema if f.name not in {*keys, part, order} and _comparable(f.dataType)]
+    made = ("_key_", "_null_")
+    ties = [f.name for f in df.schema if f.name not in {*keys, part, order} and not f.name.startswith(made) and _comparable(f.dataType)]
     group = [*keys, *([part] if part else [])]
     window = Window.partitionBy(*group).orderBy(order, *ties)
     if part is None:
@@ -156,6 +173,6 @@ def _running(df: DataFrame, part: str | None, keys, order, state, width, levels)
 
 def _with_carry(local: DataFrame, carry: DataFrame, group: list[str], columns: list[str], state) -> DataFrame:
     other = carry.select(*[F.col(c).alias(f"{c}_over") for c in group], *[f"_carry_{name}" for name in state])
-    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"{c}_over")) for c in group])
+    same = reduce(lambda a, b: a & b, [F.col(c) == F.col(f"{c}_over") for c in group])
     joined = [r.joined(F.col(f"_local_{n}"), F.col(f"_carry_{n}")).alias(n) for n, r in state.items()]
     return local.join(other, same).select(*columns, *joined)

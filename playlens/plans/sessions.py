@@ -34,7 +34,8 @@ def type_counts(signals: DataFrame) -> DataFrame:
 
 
 def flush_windows(signals: DataFrame, every: str = "10 seconds") -> DataFrame:
-    """Events per session and flush window; a fatal error flushes at once."""
+    """Events per session and window of the clock, and whether a fatal error lies in it.  The
+    collector's own batches, which such an error ends, are those of ``flushes``."""
     at = F.timestamp_millis("event_timestamp")
     fatal = _is("ERROR") & F.col("fatal")
     return (
@@ -49,6 +50,48 @@ def flush_windows(signals: DataFrame, every: str = "10 seconds") -> DataFrame:
     )
 
 
+def flushes(signals: DataFrame, every_ms: int = 10_000, width: int = CHUNK_WIDTH) -> DataFrame:
+    """Signals with the batch the collector sends them in: ``flush_start`` (epoch ms) and ``flush_part``.
+
+    A session's timer starts with its first signal and sends what is queued every ``every_ms``.  A
+    fatal error sends the queue at once, itself included; what follows until the timer's next
+    tick is the next part.  Parts are counted inside one tick, so a window never spans more.
+    Signals of one moment go by sequence number.
+    """
+    rows = with_running(signals, SESSION, SEQ, {"_began": GroupMin(F.col("event_timestamp"))}, width)
+    tick = F.floor((F.col("event_timestamp") - F.col("_began")) / every_ms)
+    rows = rows.withColumn("_tick", tick)
+    earlier = Window.partitionBy(*SESSION, "_tick").orderBy("event_timestamp", SEQ).rowsBetween(Window.unboundedPreceding, -1)
+    fatal = F.coalesce(_is("ERROR") & F.col("fatal"), F.lit(False)).cast("int")
+    part = F.coalesce(F.sum(fatal).over(earlier), F.lit(0))
+    start = F.col("_began") + F.col("_tick") * every_ms
+    return rows.select(*signals.columns, start.alias("flush_start"), part.alias("flush_part"))
+
+
+FLUSH = [*SESSION, "flush_start", "flush_part"]
+
+
+def flush_batches(flushed: DataFrame) -> DataFrame:
+    """Signals per batch, and whether a fatal error sent it."""
+    fatal = F.coalesce(_is("ERROR") & F.col("fatal"), F.lit(False))
+    return flushed.groupBy(*FLUSH).agg(row_total("event_count"), F.bool_or(fatal).alias("sent_at_once"))
+
+
+def flush_summaries(flushed: DataFrame) -> DataFrame:
+    """Non-fatal errors per batch and ``code|message``; a batch that is sent takes them all along."""
+    errors = classify_errors(flushed, FLUSH[1:]).filter(~F.col("fatal"))
+    return errors.groupBy(*FLUSH, F.concat_ws("|", "code", "message").alias("error_key")).agg(
+        row_total("error_count"),
+        F.min("event_timestamp").alias("firstSeenTs"),
+        F.max("event_timestamp").alias("lastSeenTs"),
+    )
+
+
+def flush_totals(summaries: DataFrame) -> DataFrame:
+    """Distinct codes and total count of each batch's summary."""
+    return summaries.groupBy(*FLUSH).agg(row_total("distinctCodes"), F.sum("error_count").alias("totalCount"))
+
+
 # --- traffic ----------------------------------------------------------------------------
 
 
@@ -112,7 +155,7 @@ def buffer_timeline(signals: DataFrame, width: int = CHUNK_WIDTH) -> DataFrame:
         }.items()
     }
     seen["_opened_at"] = LastValue(F.when(_is("BUFFER_START"), F.col("event_timestamp")), inclusive=False)
-    rows = with_running(chunk(signals, SEQ, width), SESSION, SEQ, seen)
+    rows = with_running(chunk(signals, SEQ, width, SESSION), SESSION, SEQ, seen)
 
     never = F.lit(-1)
     seeking = F.col("_seeking") > F.coalesce(F.col("_seeked"), never)
@@ -202,7 +245,7 @@ def quality_switches(signals: DataFrame, width: int = CHUNK_WIDTH) -> DataFrame:
         "_asked": RunningMax(_seq_of("QUALITY_SWITCH_START"), inclusive=False),
         "_changed": RunningMax(_seq_of("QUALITY_CHANGE"), inclusive=False),
     }
-    rows = with_running(chunk(signals, SEQ, width), SESSION, SEQ, seen)
+    rows = with_running(chunk(signals, SEQ, width, SESSION), SESSION, SEQ, seen)
     is_open = F.coalesce(F.col("_asked") > F.coalesce(F.col("_changed"), F.lit(-1)), F.lit(False))
     rows = rows.withColumns(
         {
@@ -236,8 +279,8 @@ def quality_switches(signals: DataFrame, width: int = CHUNK_WIDTH) -> DataFrame:
 # --- errors -----------------------------------------------------------------------------
 
 
-def classify_errors(signals: DataFrame) -> DataFrame:
-    """Normalised error fields of the ERROR signals."""
+def classify_errors(signals: DataFrame, also: list[str] | None = None) -> DataFrame:
+    """Normalised error fields of the ERROR signals, and the columns ``also`` as they are."""
     code = or_default("errorDetails", "unknown")
     fatal = F.coalesce(F.col("fatal"), F.lit(False))
     severity = first_match([(fatal, "fatal"), (code == "internalException", "warn")], "error")
@@ -251,11 +294,13 @@ def classify_errors(signals: DataFrame) -> DataFrame:
         fatal.alias("fatal"),
         severity.alias("severity"),
         (~fatal).alias("recoverable"),
+        *(also or []),
     )
 
 
 def error_summary(signals: DataFrame, every: str = "10 seconds") -> DataFrame:
-    """Non-fatal errors per session, flush window and ``code|message``."""
+    """Non-fatal errors per session, window of the clock and ``code|message``; per batch of the collector:
+    ``flush_summaries``."""
     at = F.timestamp_millis("event_timestamp")
     errors = classify_errors(signals).filter(~F.col("fatal"))
     return (

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from functools import reduce
 
 from py4j.protocol import Py4JJavaError
@@ -18,38 +19,102 @@ from ..functions.frames import settle
 RESCUED = "_rescued_data"
 
 
-def read_reports(spark: SparkSession, path: str) -> DataFrame:
+LEDGER = "path string, length bigint, modified timestamp, schema string"
+LEDGER_NAMES = ["path", "length", "modified", "schema"]
+
+
+def read_reports(spark: SparkSession, path: str, ledger: str | None = None) -> DataFrame:
     """Batch read of ``eventDate=*`` folders that loses nothing.
 
     Hinted fields have their contract types.  Columns that some files add come after them,
     NULL elsewhere.  Where a file holds a hinted field in another type its values are cast;
     those that do not fit are kept in ``_rescued_data`` as a JSON object by column.
+
+    Footers are read in tasks, one Spark job for all files that agree.  With a ``ledger``, a
+    table of the files seen so far and their schemas, only new files are looked at.
     """
-    parts = [align(rows, schemas.BRONZE) for rows in _by_schema(spark, path)]
-    if not parts:
-        return spark.read.schema(schemas.BRONZE).option("basePath", path).parquet(path)
-    return reduce(union_evolved, parts)
+    if ledger:
+        return _aligned(spark, path, list(_known_groups(spark, path, ledger)))
+    return _aligned(spark, path, _by_schema(spark, path))
 
 
-def _by_schema(spark: SparkSession, path: str) -> list[DataFrame]:
-    """One frame per different schema of the date folders; a folder whose own files differ is
-    read file by file.  As many frames as there were schemas, not as many as folders."""
-    groups: dict[str, tuple[T.StructType, list[str]]] = {}
+def read_files(spark: SparkSession, path: str, names: list[str], audit: bool = False) -> DataFrame:
+    """The given files of the landing zone, as ``read_reports`` reads them all; ``audit`` adds when
+    a row came in and from which file."""
+    return _aligned(spark, path, _groups(spark, path, names), audit)
 
-    def add(part: str) -> None:
-        schema = spark.read.option("mergeSchema", True).parquet(part).schema
-        groups.setdefault(schema.json(), (schema, []))[1].append(part)
 
+def _aligned(spark: SparkSession, path: str, groups: list[tuple[T.StructType, list[str]]], audit: bool = False) -> DataFrame:
+    def rows(schema: T.StructType, parts: list[str]) -> DataFrame:
+        found = spark.read.schema(schema).option("basePath", path).parquet(*parts)
+        return with_audit(found) if audit else found
+
+    frames = [align(rows(s, parts), schemas.BRONZE) for s, parts in groups]
+    if not frames:
+        return align(rows(schemas.BRONZE, [path]), schemas.BRONZE)
+    return reduce(union_evolved, frames)
+
+
+def _by_schema(spark: SparkSession, path: str) -> list[tuple[T.StructType, list[str]]]:
+    """The date folders by schema; a folder whose own files differ comes apart into files."""
     folders = [f"{path}/{name}" for name in files.subfolders(spark, path) if name.startswith("eventDate=")]
-    for folder in folders:
-        try:
-            add(folder)
-        except (Py4JJavaError, PySparkException) as problem:
-            if "CANNOT_MERGE_SCHEMAS" not in str(problem):
-                raise
-            for row in files.data_files(spark, folder).select("path").collect():
-                add(row.path)
-    return [spark.read.schema(s).option("basePath", path).parquet(*parts) for s, parts in groups.values()]
+    return _groups(spark, path, folders)
+
+
+def _groups(spark: SparkSession, path: str, parts: list[str]) -> list[tuple[T.StructType, list[str]]]:
+    """Parts (files or folders) whose columns agree in type, with the schema of all their columns.
+
+    One job reads the footers of all parts.  Only where types differ are the parts halved and
+    read again, so k odd files among n cost about k log n jobs, and none if all agree.  There
+    are as many groups as there are types in conflict, not as many as parts."""
+    if not parts:
+        return []
+    try:
+        schema = spark.read.option("mergeSchema", True).option("basePath", path).parquet(*parts).schema
+        return [(schema, parts)]
+    except (Py4JJavaError, PySparkException) as problem:
+        if "CANNOT_MERGE_SCHEMAS" not in str(problem):
+            raise
+    if len(parts) == 1:
+        parts = [r.path for r in files.data_files(spark, parts[0]).select("path").collect()]
+    half = len(parts) // 2
+    groups: list[tuple[T.StructType, list[str]]] = []
+    for schema, names in [*_groups(spark, path, parts[:half]), *_groups(spark, path, parts[half:])]:
+        for i, (known, others) in enumerate(groups):
+            both = _joined(known, schema)
+            if both is not None:
+                groups[i] = both, [*others, *names]
+                break
+        else:
+            groups.append((schema, names))
+    return groups
+
+
+def _joined(one: T.StructType, other: T.StructType) -> T.StructType | None:
+    """The columns of both, or None where a column has two types."""
+    kinds = {f.name: f.dataType for f in one}
+    if any(kinds.get(f.name, f.dataType) != f.dataType for f in other):
+        return None
+    return T.StructType([*one, *[f for f in other if f.name not in kinds]])
+
+
+def _known_groups(spark: SparkSession, path: str, ledger: str) -> list[tuple[T.StructType, list[str]]]:
+    """Extends the ledger by the files it lacks and returns all of its files by schema."""
+    found = files.data_files(spark, path)
+    known = spark.read.schema(LEDGER).parquet(ledger) if files.exists(spark, ledger) else spark.createDataFrame([], LEDGER)
+    # a file that was written anew under its old name counts as new
+    key = ["path", "length", "modified"]
+    fresh = [r.path for r in found.join(known.select(*key), key, "left_anti").select("path").collect()]
+    if fresh:
+        rows = [(name, schema.json()) for schema, names in _groups(spark, path, fresh) for name in names]
+        added = spark.createDataFrame(rows, "path string, schema string").join(found, "path")
+        added.select(*LEDGER_NAMES).coalesce(1).write.mode("append").parquet(ledger)
+        known = spark.read.schema(LEDGER).parquet(ledger)
+    groups: list[tuple[T.StructType, list[str]]] = []
+    live = known.join(found.select(*key), key, "left_semi")
+    for text, names in live.groupBy("schema").agg(F.sort_array(F.collect_set("path"))).orderBy("schema").collect():
+        groups.append((T.StructType.fromJson(json.loads(text)), names))
+    return groups
 
 
 def align(df: DataFrame, hinted: T.StructType) -> DataFrame:
@@ -82,7 +147,7 @@ def align(df: DataFrame, hinted: T.StructType) -> DataFrame:
 
 def widened(spark: SparkSession, path: str, hinted: T.StructType = schemas.BRONZE) -> T.StructType:
     """The hinted schema and the columns that files in the landing zone have besides."""
-    found = [f for rows in _by_schema(spark, path) for f in rows.schema if f.name not in hinted.names]
+    found = [f for schema, _ in _by_schema(spark, path) for f in schema if f.name not in hinted.names]
     return T.StructType([*hinted, *{f.name: f for f in found}.values()])
 
 
@@ -102,7 +167,8 @@ def stream_reports(
 
     The schema is the hinted one, widened by the columns the files have when the run starts; a
     triggered run thus takes columns along that were added since the last one.  A file that
-    holds a hinted field in a type which cannot be read as the hinted one stops the run.
+    holds a hinted field in a type which cannot be read as the hinted one stops the run; a
+    stream of ``stream_files`` reads such files too.
     """
     return (
         spark.readStream.schema(schema or widened(spark, path))
@@ -112,6 +178,20 @@ def stream_reports(
     )
 
 
+def stream_files(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
+    """Names of the files as they arrive, ``files_per_batch`` at most in a micro-batch.  Contents are
+    not read here, so a file of any schema passes; ``flows.ingest_flow`` reads them."""
+    return (
+        spark.readStream.format("binaryFile")
+        .schema("path string, modificationTime timestamp, length bigint, content binary")
+        .option("recursiveFileLookup", True)
+        .option("pathGlobFilter", "*.parquet")
+        .option("maxFilesPerTrigger", files_per_batch)
+        .load(path)
+        .select("path")
+    )
+
+
 def with_audit(df: DataFrame) -> DataFrame:
     """When a row came in and from which file."""
     return df.select(

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import maintenance, medallion, merge
-from ..sources import files, tables
+from ..sources import files, landing, tables
 from ..sources.tables import BATCH
 
 
@@ -88,6 +88,30 @@ def routed_flow(
     )
 
 
+def ingest_flow(
+    spark: SparkSession, landing_path: str, handle: Callable[[DataFrame, int], None], checkpoint: str,
+    files_per_batch: int = 1000, audit: bool = False,
+) -> StreamingQuery:
+    """Files of the landing zone as they arrive, typed, widened and rescued like a batch read.
+
+    The stream carries file names; each micro-batch reads its files by their own schemas, so
+    a value of another type goes to ``_rescued_data`` and an added column comes along, where a
+    stream of rows would stop.  The names of one micro-batch, ``files_per_batch`` at most, come to
+    the driver."""
+
+    def read(listing: DataFrame, batch_id: int) -> None:
+        names = sorted(r.path for r in listing.collect())
+        if names:
+            handle(landing.read_files(spark, landing_path, names, audit), batch_id)
+
+    return routed_flow(landing.stream_files(spark, landing_path, files_per_batch), read, checkpoint)
+
+
+def table_writer(path: str, partitions: list[str]) -> Callable[[DataFrame, int], None]:
+    """Appends each micro-batch to a table as it is, in folders of its own."""
+    return lambda rows, batch_id: _write_batch(rows, path, batch_id, partitions)
+
+
 def finish(query: StreamingQuery) -> None:
     """Wait for a triggered run and pass its error on."""
     query.awaitTermination()
