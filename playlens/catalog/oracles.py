@@ -1306,3 +1306,120 @@ sql(
       coalesce(nullif(effectiveType, ''), 'unknown') AS connectionType, downlink AS downlinkMbps, rtt AS rttMs FROM sig""",
     SIGNALS,
 )
+
+# --- triggered runs ---------------------------------------------------------------------
+
+sql(
+    "s01_landed_bronze",
+    """SELECT customerId, contentId, clientId, timestamp_server, timestamp_agent, buffering_count, buffering_time_ms,
+      total_source_data // 1000 AS total_source_requests, total_source_data, total_p2p_data // 1000 AS total_p2p_requests,
+      total_p2p_data, eventDate FROM report""",
+)
+_BY_CDN = "SELECT eventDate, CASE WHEN eid % 3 = 1 THEN 'edge' END AS cdn, count(*) AS row_count FROM report GROUP BY ALL"
+sql("s03_added_column", _BY_CDN)
+sql("s03_ledger_read", _BY_CDN)
+sql("s04_stream_rescued", "SELECT eventDate, rescued AS _rescued_data FROM report WHERE rescued IS NOT NULL")
+_FAULTS = f"""SELECT {KEY}, contentId, timestamp_agent, buffering_count, buffering_time_ms, total_source_requests,
+  total_source_data, total_p2p_requests, total_p2p_data, quality_source_requests, quality_source_data,
+  quality_p2p_requests, quality_p2p_data, buffering_time_sec, quarantine_reason FROM quarantine"""
+sql("s05_stream_from_table", _FAULTS)
+sql("t01_stream_silver", f"SELECT {SILVER} FROM silver")
+sql("t02_stream_quarantine", _FAULTS)
+sql("t04_rows_by_batch", "SELECT eid % 3 AS ingest_batch, count(*) AS row_count FROM silver GROUP BY 1")
+sql("t05_late_gold", "SELECT * FROM gold", GOLD)
+sql(
+    "t09_running_sessions",
+    """SELECT playbackSessionId, max(sequenceNumber) AS lastSequence, max(totalRebufferMs) AS totalRebufferMs,
+      max(stallCount) AS stallCount, max(startupStallCount) AS startupStallCount, count(*) AS signal_count
+    FROM timeline GROUP BY 1""",
+    SIGNALS,
+    TIMELINE,
+)
+sql("m07_compacted", f"SELECT {SILVER} FROM silver")
+_PER_BATCH = "SELECT '{0}' AS layer, eid % 3 AS version, count(*) AS rows_out FROM {0} GROUP BY 2"
+sql(
+    "m08_change_history",
+    f"""SELECT layer, version, 'WRITE' AS operation, 0 AS rows_updated, 0 AS rows_inserted, rows_out FROM (
+      {_PER_BATCH.format('silver')} UNION ALL {_PER_BATCH.format('quarantine')} UNION ALL
+      SELECT 'gold', n, count(DISTINCT customerId || '|' || clientId || '|' || s.eventDate)
+      FROM (SELECT DISTINCT eid % 3 AS n, eventDate FROM exploded) d JOIN silver s ON s.eventDate = d.eventDate AND s.eid % 3 <= n
+      GROUP BY 2)""",
+)
+sql("m11_archived", f"SELECT {KEY}, quarantine_reason FROM quarantine q WHERE EXISTS {_DONE}", REPAIR)
+sql("m12_left_in_quarantine", f"SELECT {KEY}, quarantine_reason FROM quarantine q WHERE NOT EXISTS {_DONE}", REPAIR)
+sql("r33_run_history", "SELECT 'COMPLETED' AS state, '✓' AS status_icon, 4 AS runs")
+sql(
+    "a06_merged_sketches",
+    "SELECT customerId, count(DISTINCT contentId || '|' || timestamp_server) AS exact, true AS is_near FROM silver GROUP BY 1",
+)
+
+
+def flushes(ms: int) -> str:
+    """CTE of the signals with the batch that each is sent in."""
+    return f"""
+fl AS (
+  SELECT *, began + tick * {ms} AS flush_start, CAST(coalesce(sum(CASE WHEN eventType = 'ERROR' AND fatal THEN 1 ELSE 0 END)
+      OVER (PARTITION BY playbackSessionId, tick ORDER BY event_timestamp, sequenceNumber
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS flush_part
+  FROM (SELECT *, (event_timestamp - began) // {ms} AS tick FROM (
+    SELECT *, min(event_timestamp) OVER (PARTITION BY playbackSessionId) AS began FROM sig))
+),
+fl_errors AS (
+  SELECT playbackSessionId, flush_start, flush_part, e.code || '|' || e.message AS error_key, count(*) AS error_count,
+    min(e.event_timestamp) AS firstSeenTs, max(e.event_timestamp) AS lastSeenTs
+  FROM errs e JOIN fl USING (playbackSessionId, sequenceNumber) WHERE NOT e.fatal GROUP BY ALL
+)"""
+
+
+_TEN, _SIX = flushes(10_000), flushes(6 * 60 * 60 * 1000)
+_FLUSH = "playbackSessionId, flush_start, flush_part"
+_BATCHES = f"""SELECT {_FLUSH}, count(*) AS event_count, bool_or(eventType = 'ERROR' AND fatal) AS sent_at_once
+  FROM fl GROUP BY ALL"""
+_TOTALS = f"SELECT {_FLUSH}, count(*) AS distinctCodes, CAST(sum(error_count) AS BIGINT) AS totalCount FROM fl_errors GROUP BY ALL"
+_POSTED = "eventType NOT IN ('SEEKING', 'SEEKED') AND NOT (eventType = 'ERROR' AND NOT fatal)"
+sql("e10_flushes", _BATCHES, SIGNALS, ERRORS, _TEN)
+sql("e10_flushes_six_hours", _BATCHES, SIGNALS, ERRORS, _SIX)
+sql("e21_flush_summaries", "SELECT * FROM fl_errors", SIGNALS, ERRORS, _TEN)
+sql("e21_flush_summaries_six_hours", "SELECT * FROM fl_errors", SIGNALS, ERRORS, _SIX)
+sql("e21_flush_totals", _TOTALS, SIGNALS, ERRORS, _TEN)
+sql("e13_posted_buffer_types", f"SELECT {SIGNAL}, start_type AS bufferType FROM paired WHERE eventType = 'BUFFER_START'", SIGNALS, TIMELINE)
+sql(
+    "e14_posted_buffer_intervals",
+    f"""SELECT {SIGNAL}, prev_start_type AS type, prev_ts AS start_ts, event_timestamp AS end_ts, durationMs
+    FROM paired WHERE durationMs IS NOT NULL""",
+    SIGNALS,
+    TIMELINE,
+)
+sql(
+    "e16_posted_quality",
+    f"SELECT {SIGNAL}, totalRebufferMs, stallCount, startupStallCount, watchTimeSec, {_RATIO} FROM timeline WHERE {_POSTED}",
+    SIGNALS,
+    TIMELINE,
+)
+sql(
+    "e17_posted_first_frame",
+    """SELECT playbackSessionId, min(event_timestamp) FILTER (eventType = 'PLAYBACK_START') - min(event_timestamp) AS timeToFirstFrameMs
+    FROM sig GROUP BY 1 HAVING timeToFirstFrameMs IS NOT NULL""",
+    SIGNALS,
+)
+sql("e18_posted_switches", "SELECT * FROM switches", SIGNALS, SWITCHES)
+sql("e20_posted_errors", "SELECT * FROM errs WHERE fatal", SIGNALS, ERRORS)
+sql("e21_posted_summaries", "SELECT playbackSessionId, error_key, error_count, firstSeenTs, lastSeenTs FROM fl_errors", SIGNALS, ERRORS, _TEN)
+sql("e21_posted_totals", f"SELECT playbackSessionId, distinctCodes, totalCount FROM ({_TOTALS})", SIGNALS, ERRORS, _TEN)
+sql(
+    "e23_posted_user_agents",
+    f"""SELECT {SIGNAL}, CASE WHEN length(userAgent) > 180 THEN left(userAgent, 180) || '...' ELSE userAgent END AS userAgent
+    FROM sig WHERE {_POSTED}""",
+    SIGNALS,
+)
+sql(
+    "e25_posted_type_counts",
+    f"SELECT tenantId, playbackSessionId, eventType, count(*) AS event_count FROM sig WHERE {_POSTED} GROUP BY ALL",
+    SIGNALS,
+)
+sql(
+    "e26_posted_network",
+    f"""SELECT {SIGNAL}, nullif(CAST(round(bandwidthEstimate) AS BIGINT), 0) AS estimatedBandwidthBps,
+      coalesce(nullif(effectiveType, ''), 'unknown') AS connectionType, downlink AS downlinkMbps, rtt AS rttMs FROM sig WHERE {_POSTED}""",
+    SIGNALS,
+)

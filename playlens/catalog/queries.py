@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..functions import scalar as S
 from ..operators import combine, dedupe, expectations, maintenance, medallion, merge, repair
-from ..plans import alerts, contracts, dashboards, event_defaults, faults, monitoring, sessions
+from ..plans import alerts, collected, contracts, dashboards, event_defaults, faults, monitoring, sessions
 from ..plans.alerts import row_total
 from ..sources import adapter, batches, landing
 from .lake import AS_OF, AS_OF_MS, AS_OF_TS, Lake, lake
+from .runs import runs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -747,6 +748,54 @@ _report("c13_aggregation_accuracy", lambda k: contracts.aggregation_accuracy(k.s
 _report("c14_duplicates", lambda k: contracts.no_duplicates(silver_with_copies(k)))
 
 
+# --- triggered runs ---------------------------------------------------------------------
+
+
+def _by_day_and_cdn(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("eventDate", "cdn").agg(row_total("row_count"))
+
+
+def _plain_quarantine(rows: DataFrame) -> DataFrame:
+    return rows.drop("qualityDistribution", "quality_metrics", "quarantine_timestamp", "ingest_batch")
+
+
+_report("s01_landed_bronze", lambda k: medallion.flatten(runs(k).flow.read("bronze")).drop("qualityDistribution"))
+_report("s03_added_column", lambda k: _by_day_and_cdn(runs(k).flow.read("bronze")))
+_report("s03_ledger_read", lambda k: _by_day_and_cdn(runs(k).ledger))
+_report(
+    "s04_stream_rescued",
+    lambda k: runs(k).flow.read("bronze").filter("_rescued_data IS NOT NULL").select("eventDate", "_rescued_data"),
+)
+_report("s05_stream_from_table", lambda k: _plain_quarantine(runs(k).from_table))
+_report("t01_stream_silver", lambda k: runs(k).flow.read("silver").select(*schemas.SILVER.names))
+_report("t02_stream_quarantine", lambda k: _plain_quarantine(runs(k).flow.read("quarantine")))
+_report("t04_rows_by_batch", lambda k: runs(k).flow.read("silver").groupBy("ingest_batch").agg(row_total("row_count")))
+_report("t05_late_gold", lambda k: runs(k).flow.read("gold"))
+_report("t09_running_sessions", lambda k: runs(k).sessions.drop("first_day", "last_day"))
+_report("m07_compacted", lambda k: runs(k).compacted.select(*schemas.SILVER.names))
+_report(
+    "m08_change_history",
+    lambda k: maintenance.change_history(maintenance.log_table(k.spark, runs(k).flow.path("log"))).drop("ts"),
+)
+_report("m11_archived", lambda k: runs(k).archived.read("archive").select(*KEY, "quarantine_reason"))
+_report("m12_left_in_quarantine", lambda k: runs(k).archived.read("quarantine-copy").select(*KEY, "quarantine_reason"))
+_report(
+    "r33_run_history",
+    lambda k: maintenance.run_history(maintenance.log_table(k.spark, runs(k).flow.path("log")), AS_OF_TS)
+    .groupBy("state", "status_icon").agg(row_total("runs")),
+)
+
+
+@query("a06_merged_sketches")
+def _(lk):
+    """Per customer: the union of the daily sketches against the exact count, within four standard errors."""
+    value = F.concat_ws("|", "contentId", "timestamp_server")
+    exact = lk.silver.groupBy("customerId").agg(F.count_distinct(value).alias("exact"))
+    merged = medallion.merged_distincts(medallion.distinct_sketches(lk.silver, {"reports": value}), ["reports"], "customerId")
+    near = F.abs(F.col("reports") - F.col("exact")) <= F.col("exact") * 4 * 1.04 / 64
+    return merged.join(exact, "customerId").select("customerId", "exact", near.alias("is_near"))
+
+
 # --- collector events -------------------------------------------------------------------
 
 
@@ -806,3 +855,20 @@ _report("e23_user_agent", lambda k: sessions.trimmed_user_agent(k.signals))
 _report("e24_session_targets", lambda k: sessions.session_targets(timeline(k)))
 _report("e25_type_counts", lambda k: sessions.type_counts(k.signals))
 _report("e26_network_context", lambda k: sessions.network_context(k.signals))
+_HOURS = 6 * 60 * 60 * 1000
+_report("e10_flushes", lambda k: sessions.flush_batches(sessions.flushes(k.signals)))
+_report("e10_flushes_six_hours", lambda k: sessions.flush_batches(sessions.flushes(k.signals, _HOURS)))
+_report("e21_flush_summaries", lambda k: sessions.flush_summaries(sessions.flushes(k.signals)))
+_report("e21_flush_summaries_six_hours", lambda k: sessions.flush_summaries(sessions.flushes(k.signals, _HOURS)))
+_report("e21_flush_totals", lambda k: sessions.flush_totals(sessions.flush_summaries(sessions.flushes(k.signals))))
+_report("e13_posted_buffer_types", lambda k: collected.buffer_starts(runs(k).posted))
+_report("e14_posted_buffer_intervals", lambda k: collected.buffer_intervals(runs(k).posted))
+_report("e16_posted_quality", lambda k: collected.playback_quality(runs(k).posted.filter("sequenceNumber IS NOT NULL")))
+_report("e17_posted_first_frame", lambda k: collected.time_to_first_frame(runs(k).posted).filter("timeToFirstFrameMs IS NOT NULL"))
+_report("e18_posted_switches", lambda k: collected.quality_switches(runs(k).posted))
+_report("e20_posted_errors", lambda k: collected.fatal_errors(runs(k).posted))
+_report("e21_posted_summaries", lambda k: collected.error_summaries(runs(k).posted))
+_report("e21_posted_totals", lambda k: collected.error_totals(runs(k).posted))
+_report("e23_posted_user_agents", lambda k: collected.user_agents(runs(k).posted.filter("sequenceNumber IS NOT NULL")))
+_report("e25_posted_type_counts", lambda k: collected.type_counts(runs(k).posted.filter("sequenceNumber IS NOT NULL")))
+_report("e26_posted_network", lambda k: collected.network_context(runs(k).posted.filter("sequenceNumber IS NOT NULL")))

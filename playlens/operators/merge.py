@@ -121,6 +121,23 @@ def replace_partitions(
     return expected
 
 
+def shrink_partitions(
+    spark: SparkSession, left: DataFrame, before: DataFrame, path: str, partitions: list[str], staging: str
+) -> int:
+    """Replace the partitions of ``before`` by what is ``left`` of them; both may read the table.
+
+    Partitions that keep rows are staged, counted and overwritten as by ``replace_partitions``; then the
+    folders of those that keep none are removed.  The table itself is never moved, other partitions
+    are not touched, and a second attempt after a crash ends in the same state.
+    """
+    gone = before.select(*partitions).distinct().exceptAll(left.select(*partitions).distinct())
+    emptied = [tuple(r) for r in gone.select(*[F.col(c).cast("string") for c in partitions]).collect()]  # folders, not rows
+    rows = replace_partitions(spark, left, path, partitions, staging)
+    for values in emptied:
+        files.delete(spark, f"{path}/{files.partition_folder(spark, dict(zip(partitions, values)))}")
+    return rows
+
+
 def merge_table(
     spark: SparkSession, path: str, source: DataFrame, staging: str, keys: list[str] = schemas.SILVER_KEY
 ) -> dict[str, int]:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -210,8 +212,9 @@ def clean_up(
 ) -> bool:
     """Deal with reprocessed quarantine rows; True if anything was written.
 
-    Archiving comes first and is checked; only then the table shrinks.  Marking rewrites the
-    dates of the marked rows alone, once the table has the columns for it.
+    Archiving comes first and is checked; only then the table shrinks.  All modes rewrite the
+    dates of the rows they deal with alone; only marking for the first time writes the whole
+    table, as every file gets the new columns.
     """
     staging = f"{quarantine_path}.staging"
     if mode not in CLEANUP_MODES:
@@ -239,23 +242,37 @@ def clean_up(
     else:
         if mode == "archive" and archive_path is None:
             raise ValueError("archive mode needs archive_path")
-        gone, left = split_archive(rows, done)
+        here = merge.on_dates(rows, merge.dates_of(done))  # a key holds its date
+        gone, left = split_archive(here, done)
         if mode == "archive":
-            _archive(spark, gone, archive_path)
-        tables.replace_table(spark, left.select(*rows.columns), quarantine_path, layout)
+            _archive(spark, gone.select(*rows.columns), archive_path)
+        merge.shrink_partitions(spark, left.select(*rows.columns), here, quarantine_path, layout, staging)
     files.delete(spark, keys_path)
     return True
 
 
 def _archive(spark: SparkSession, rows: DataFrame, archive_path: str) -> None:
-    """Add rows to the archive in folders named by their content, so that a second attempt
-    after a crash overwrites what the first one wrote instead of adding it again."""
-    mark = rows.agg(F.coalesce(F.sum(F.xxhash64(*schemas.SILVER_KEY).cast("decimal(38,0)")), F.lit(0)).cast("string")).first()[0]
+    """Add the rows whose keys the archive lacks.
+
+    A key that is there was archived by an earlier attempt, with all of its rows, so a retry
+    adds each row once, also if more faulty rows arrived in between.  Only the dates of the
+    rows are opened.  Rows of one attempt share a folder level of its own.
+    """
+    dates = merge.dates_of(rows)
+    known = None
+    if files.exists(spark, archive_path):
+        known = merge.on_dates(spark.read.parquet(archive_path), dates)
+        new = rows.join(known.select(*schemas.SILVER_KEY).distinct(), schemas.SILVER_KEY, "left_anti").select(*rows.columns)
+    else:
+        new = rows
     layout = [*tables.QUARANTINE_PARTITIONS, ARCHIVED]
-    stamped = rows.withColumn(ARCHIVED, F.lit(f"m{mark}"))
-    tables.write_partitioned(tables.packed(stamped, layout), archive_path, layout)
-    live = spark.read.parquet(archive_path).filter(F.col(ARCHIVED) == f"m{mark}")
-    if tables.row_count(live) != tables.row_count(rows):
+    stamped = new.withColumn(ARCHIVED, F.lit(f"m{uuid.uuid4().hex}"))
+    tables.write_partitioned(tables.packed(stamped, layout), archive_path, layout, mode="append")
+    if rows.isEmpty():
+        return
+    live = merge.on_dates(spark.read.parquet(archive_path), dates)
+    live = live.join(rows.select(*schemas.SILVER_KEY).distinct(), schemas.SILVER_KEY, "left_semi")
+    if tables.row_count(live) < tables.row_count(rows):
         raise RuntimeError("archive is incomplete; quarantine left as it was")
 
 
@@ -275,10 +292,7 @@ def dedupe_silver(spark: SparkSession, silver_path: str, backup: str | None, con
         dates = merge.dates_of(duplicate_groups(silver))
         found = merge.on_dates(silver, dates)
         kept = keep_one(found, schemas.SILVER_KEY).select(*silver.columns)
+        # a batch folder may lose all of its rows
         layout = tables.layout(kept, ["eventDate"])
-        if layout == ["eventDate"]:
-            merge.replace_partitions(spark, kept, silver_path, layout, f"{silver_path}.staging")
-        else:  # a batch folder may lose all of its rows
-            rest = merge.off_dates(silver, dates)
-            tables.replace_table(spark, kept.unionByName(rest), silver_path, layout)
+        merge.shrink_partitions(spark, kept, found, silver_path, layout, f"{silver_path}.staging")
     return report

@@ -38,6 +38,13 @@ def subfolders(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(target) if s.isDirectory()]
 
 
+def partition_folder(spark: SparkSession, values: dict[str, str | None]) -> str:
+    """Relative folder of a partition, named as Spark's writers name it."""
+    escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    none = "__HIVE_DEFAULT_PARTITION__"
+    return "/".join(f"{escape(name)}={escape(value) if value else none}" for name, value in values.items())
+
+
 def data_files(spark: SparkSession, path: str) -> DataFrame:
     """Path, length and modification time of every parquet file; contents are not read."""
     return (

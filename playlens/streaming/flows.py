@@ -8,9 +8,12 @@ checkpoint into an empty folder.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timezone
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import maintenance, medallion, merge
@@ -42,6 +45,12 @@ def _write_batch(rows: DataFrame, path: str, batch_id: int, partitions: list[str
     tables.write_partitioned(tables.packed(stamped, layout), path, layout)
 
 
+def _written_rows(spark: SparkSession, schema: T.StructType, path: str, batch_id: int) -> int:
+    """Rows in the folders of a micro-batch; a count that parquet answers from its footers."""
+    rows = spark.read.schema(schema.add(BATCH, "int")).parquet(path)
+    return tables.row_count(rows.filter(F.col(BATCH) == batch_id))
+
+
 def route_batch(
     spark: SparkSession,
     silver_path: str,
@@ -51,26 +60,35 @@ def route_batch(
     log_path: str | None = None,
     not_null: str | None = "fail",
     distinct: str = "approx",
+    logged: tuple[str, ...] = ("gold",),
 ) -> Callable[[DataFrame, int], None]:
     """Both sides of one micro-batch from a single read, then gold for the dates it touched.
 
-    Late rows need no watermark: whatever date they carry is refreshed.
+    Late rows need no watermark: whatever date they carry is refreshed.  The layers named in
+    ``logged`` get an entry in the run log with the rows that were written.
     """
 
+    def log(layer: str, batch_id: int, started: datetime, rows: int) -> None:
+        if log_path and layer in logged:
+            maintenance.log_run(
+                spark, log_path, layer=layer, version=batch_id, ts=started, operation="WRITE", rows_out=rows
+            )
+
     def handle(bronze: DataFrame, batch_id: int) -> None:
         rows = medallion.quality_rows(bronze).persist()
         try:
             silver = medallion.silver_from_rows(rows, not_null)
-            _write_batch(silver, silver_path, batch_id, ["eventDate"])
-            _write_batch(medallion.quarantine_from_rows(rows), quarantine_path, batch_id, ["eventDate"])
+            now = datetime.now(timezone.utc)
+            faults = medallion.quarantine_from_rows(rows)
+            for layer, part, path in (("silver", silver, silver_path), ("quarantine", faults, quarantine_path)):
+                _write_batch(part, path, batch_id, ["eventDate"])
+                if log_path and layer in logged:
+                    log(layer, batch_id, now, _written_rows(spark, part.schema, path, batch_id))
             dates = merge.dates_of(rows)
             # Nothing may have reached silver yet, e.g. a first batch with faulty rows only.
             if files.exists(spark, silver_path) and not silver.isEmpty():
                 gold_rows = merge.refresh_gold_table(spark, gold_path, silver_path, dates, staging, distinct)
-                if log_path:
-                    maintenance.log_run(
-                        spark, log_path, layer="gold", version=batch_id, operation="WRITE", rows_out=gold_rows
-                    )
+                log("gold", batch_id, datetime.now(timezone.utc), gold_rows)
         finally:
             rows.unpersist()
 
@@ -112,9 +130,20 @@ def table_writer(path: str, partitions: list[str]) -> Callable[[DataFrame, int],
     return lambda rows, batch_id: _write_batch(rows, path, batch_id, partitions)
 
 
-def finish(query: StreamingQuery) -> None:
-    """Wait for a triggered run and pass its error on."""
-    query.awaitTermination()
-    problem = query.exception()
+def finish(query: StreamingQuery, spark: SparkSession | None = None, log_path: str | None = None) -> None:
+    """Wait for a triggered run and pass its error on.  With a log, the run leaves an entry there
+    with its state, its begin and its end, also if it failed."""
+    started = datetime.now(timezone.utc)
+    problem = None
+    try:
+        query.awaitTermination()
+        problem = query.exception()
+    except StreamingQueryException as error:
+        problem = error
+    if log_path:
+        maintenance.log_run(
+            spark, log_path, run_id=str(query.runId), state="FAILED" if problem else "COMPLETED", started=started,
+            finished=datetime.now(timezone.utc), ts=started, operation="RUN",
+        )
     if problem is not None:
         raise problem

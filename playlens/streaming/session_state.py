@@ -1,81 +1,87 @@
-"""Buffer state of running sessions, kept across micro-batches.
+"""Totals of running sessions, kept up to date by triggered runs.
 
-The state of a session is six numbers.  Rows of one session in one micro-batch meet in one
-task; ``maxFilesPerTrigger`` on the source bounds how many that can be.  Over stored events
-use ``plans.sessions.buffer_timeline``, which splits a session of any size.
+Every signal is stored.  A micro-batch adds its signals to the store and computes the sessions it
+touches anew from their stored signals with ``plans.sessions.buffer_timeline``, in order and
+over as many tasks as a long session needs.  So a signal may come late by any time, before or
+after its successors, and a session may go on after any pause: the totals are those of all
+signals so far, as a batch job would find them.
+
+The store is partitioned by the signals' day.  The totals of a session carry its first and last
+day, so a micro-batch opens the days of the sessions it touches and no others.  Signals and
+totals are written to folders per micro-batch, which a replay overwrites.
+
+A NULL session is a session of its own.  Signals without a time stand on day 1970-01-01.  A
+micro-batch without signals changes nothing.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark.sql import DataFrame
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-
-OUTPUT = (
-    "playbackSessionId string, lastSequence bigint, totalRebufferMs bigint, stallCount bigint,"
-    " startupStallCount bigint, expired boolean"
-)
-STATE = (
-    "started boolean, seeking boolean, opened_at bigint, total_ms bigint, stalls bigint, startup_stalls bigint,"
-    " last_sequence bigint"
-)
-_NEW = (False, False, -1, 0, 0, 0, -1)
-
-
-def _step(state: tuple, kind: str, at: int, sequence: int) -> tuple:
-    started, seeking, opened_at, total, stalls, startups, _ = state
-    if kind == "PLAYBACK_START":
-        started = True
-    elif kind in ("SEEKING", "SEEKED"):
-        seeking = kind == "SEEKING"
-    elif kind == "BUFFER_START":
-        opened_at = at
-        if not started:
-            startups += 1
-        elif not seeking:
-            stalls += 1
-    elif kind == "BUFFER_END" and opened_at >= 0:
-        total += at - opened_at
-        opened_at = -1
-    return started, seeking, opened_at, total, stalls, startups, sequence
-
-
-def _update(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    now = state.get if state.exists else _NEW
-    if state.hasTimedOut:
-        state.remove()
-    else:
-        rows = pd.concat(list(parts)).sort_values("sequenceNumber")
-        for kind, at, sequence in zip(rows["eventType"], rows["event_timestamp"], rows["sequenceNumber"]):
-            now = _step(now, kind, int(at), int(sequence))
-        state.update(now)
-        deadline = max(int(rows["event_timestamp"].max()), state.getCurrentWatermarkMs()) + IDLE_MS
-        state.setTimeoutTimestamp(deadline)
-    expired = state.hasTimedOut
-    yield pd.DataFrame(
-        {
-            "playbackSessionId": [key[0]],
-            "lastSequence": [now[6]],
-            "totalRebufferMs": [now[3]],
-            "stallCount": [now[4]],
-            "startupStallCount": [now[5]],
-            "expired": [expired],
-        }
-    )
+from collections.abc import Callable
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-#: A session without events for this long, in event time, is closed and its state dropped.
-IDLE_MS = 6 * 60 * 60 * 1000
+from ..operators.sequence import CHUNK_WIDTH
+from ..plans.sessions import SEQ, SESSION, buffer_timeline
+from ..sources import files, tables
+from ..sources.tables import BATCH
 
+DAY = "signal_day"
+#: What the totals of a session need.
+NEEDED = [*SESSION, SEQ, "event_timestamp", "eventType"]
+TOTALS = ["lastSequence", "totalRebufferMs", "stallCount", "startupStallCount", "signal_count"]
 
-def running_sessions(signals: DataFrame, lateness: str = "1 hour") -> DataFrame:
-    """One row per session and micro-batch with the totals so far, one more when it expires."""
-    timed = signals.selectExpr("*", "timestamp_millis(event_timestamp) AS event_time").withWatermark(
-        "event_time", lateness
-    )
-    needed = timed.select("playbackSessionId", "sequenceNumber", "event_timestamp", "eventType", "event_time")
-    return needed.groupBy("playbackSessionId").applyInPandasWithState(
-        _update, OUTPUT, STATE, "update", GroupStateTimeout.EventTimeTimeout
+
+def _day():
+    return F.coalesce(F.to_date(F.timestamp_millis("event_timestamp")), F.lit("1970-01-01").cast("date"))
+
+
+def session_totals(signals: DataFrame, width: int = CHUNK_WIDTH) -> DataFrame:
+    """One row per session with its totals after its last signal."""
+    timeline = buffer_timeline(signals, width)
+    return timeline.groupBy(*SESSION).agg(
+        F.max(SEQ).alias("lastSequence"),
+        *[F.max(name).alias(name) for name in TOTALS[1:4]],
+        F.count(F.lit(1)).alias("signal_count"),
     )
+
+
+def _same_session(other: DataFrame) -> DataFrame:
+    return other.select(F.col(SESSION[0]).alias("_session")).distinct()
+
+
+def session_handler(spark: SparkSession, store: str, totals: str, width: int = CHUNK_WIDTH) -> Callable[[DataFrame, int], None]:
+    """For ``flows.routed_flow`` over signals: stores a micro-batch and writes the totals it changes."""
+
+    def handle(signals: DataFrame, batch_id: int) -> None:
+        mark = F.lit(batch_id).cast("int")
+        rows = signals.select(*NEEDED, _day().alias(DAY), mark.alias(BATCH))
+        tables.write_partitioned(tables.packed(rows, [DAY, BATCH]), store, [DAY, BATCH])
+        stored = spark.read.schema(rows.schema).parquet(store)
+        new = stored.filter(F.col(BATCH) == batch_id)
+        days = new.groupBy(*SESSION).agg(F.min(DAY).alias("first_day"), F.max(DAY).alias("last_day"))
+        if files.exists(spark, totals):
+            known = spark.read.parquet(totals).filter(F.col(BATCH) < batch_id)
+            touched = _same_session(new)
+            before = known.join(touched, F.col(SESSION[0]).eqNullSafe(F.col("_session")), "left_semi")
+            days = days.unionByName(before.select(*days.columns))
+        days = days.groupBy(*SESSION).agg(F.min("first_day").alias("first_day"), F.max("last_day").alias("last_day"))
+        first, last = days.agg(F.min("first_day"), F.max("last_day")).first()
+        if first is None:
+            return
+        # the days are literals, so other folders of the store are not opened
+        history = stored.filter(F.col(DAY).between(F.lit(first), F.lit(last)) & (F.col(BATCH) <= batch_id))
+        history = history.join(_same_session(new), F.col(SESSION[0]).eqNullSafe(F.col("_session")), "left_semi")
+        found = session_totals(history.select(*NEEDED), width)
+        dated = days.select(F.col(SESSION[0]).alias("_session"), "first_day", "last_day")
+        found = found.join(dated, F.col(SESSION[0]).eqNullSafe(F.col("_session"))).drop("_session")
+        tables.write_partitioned(found.withColumn(BATCH, mark), totals, [BATCH])
+
+    return handle
+
+
+def current_totals(spark: SparkSession, totals: str) -> DataFrame:
+    """The latest totals of every session."""
+    rows = spark.read.parquet(totals)
+    latest = F.max_by(F.struct(*TOTALS, "first_day", "last_day"), BATCH)
+    return rows.groupBy(*SESSION).agg(latest.alias("_now")).select(*SESSION, "_now.*")

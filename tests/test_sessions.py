@@ -7,7 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 import fixtures as fx
-from playlens.operators.sequence import GroupMin, LastValue, RunningMax, RunningSum, with_running
+from playlens.operators.sequence import GroupMin, LastValue, RunningMax, RunningSum, chunk, with_running
 from playlens.plans import sessions
 
 
@@ -138,3 +138,45 @@ def test_large_session_is_spread_over_chunks(spark):
     assert plan.agg(F.max("total"), F.count("*")).first()[:] == (5000, 5000)
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(key" in text and "_chunk" in text
+
+
+def test_fatal_errors_end_batches(spark):
+    """Two summaries where a fatal error falls inside ten seconds; the timer goes on as before."""
+    rows = [
+        ("s", 0, 1000, "PLAYBACK_START", None, None, None), ("s", 1, 2000, "ERROR", "x", "net", False), ("s", 2, 3000, "ERROR", "x", "net", True),
+        ("s", 3, 3000, "ERROR", "x", "net", False), ("s", 4, 9999, "ERROR", "y", "net", False), ("s", 5, 10_999, "ERROR", "x", "net", False),
+        ("s", 6, 11_000, "ERROR", "x", "net", False), ("s", 7, 12_000, "ERROR", None, None, True), ("s", 8, 13_000, "ERROR", "", None, True),
+        ("t", 0, 5000, "ERROR", "x", "net", None), ("t", 1, 15_000, "SEEKING", None, None, None),
+    ]
+    ddl = "playbackSessionId string, sequenceNumber bigint, event_timestamp bigint, eventType string, errorDetails string, errorType string, fatal boolean"
+    flushed = sessions.flushes(spark.createDataFrame(rows, ddl).repartition(3), width=2)
+    batches = sorted(tuple(r) for r in sessions.flush_batches(flushed).collect())
+    assert batches == [
+        ("s", 1000, 0, 3, True), ("s", 1000, 1, 3, False), ("s", 11_000, 0, 2, True), ("s", 11_000, 1, 1, True),
+        ("t", 5000, 0, 1, False), ("t", 15_000, 0, 1, False),
+    ]
+    summaries = sessions.flush_summaries(flushed)
+    assert sorted(tuple(r)[1:5] for r in summaries.collect() if r.playbackSessionId == "s") == [
+        (1000, 0, "x|net", 1), (1000, 1, "x|net", 2), (1000, 1, "y|net", 1), (11_000, 0, "x|net", 1),
+    ]
+    totals = sorted(tuple(r)[1:] for r in sessions.flush_totals(summaries).collect() if r.playbackSessionId == "s")
+    assert totals == [(1000, 0, 1, 1), (1000, 1, 2, 3), (11_000, 0, 1, 1)]
+
+
+def test_passes_share_one_shuffle_of_the_rows(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.range(0, 2000).selectExpr("CAST(id % 7 AS STRING) AS key", "id AS seq", "id % 5 AS n").filter("n >= 0")
+        df = df.selectExpr("nullif(key, '3') AS key", "seq", "n")
+        rows = chunk(df, "seq", 100, ["key"])
+        once = with_running(rows, ["key"], "seq", {"a": RunningSum(F.col("n"))})
+        twice = with_running(once, ["key"], "seq", {"b": RunningMax(F.col("n"))})
+        whole = Window.partitionBy("key").orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
+        expected = df.select("*", F.sum("n").over(whole).alias("a"), F.max("n").over(whole).alias("b"))
+        assert sorted(map(repr, twice.select(*expected.columns).collect())) == sorted(map(repr, expected.collect()))
+        text = twice._jdf.queryExecution().executedPlan().toString()
+        # row exchanges carry seq; those of the carry do not
+        rows_moved = [x for x in text.split("Exchange hashpartitioning(")[1:] if "_key_key" in x.split("]")[0]]
+        assert "isnull" not in "".join(x.split("\n")[0] for x in rows_moved)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

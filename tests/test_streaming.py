@@ -148,28 +148,174 @@ def test_routed_flow_refreshes_gold_for_late_dates(spark, landing_path, tmp_path
     assert spark.read.parquet(paths["quarantine"]).filter("processed_id = 'b'").count() == 1
 
 
-def test_session_state_equals_batch(spark, tmp_path):
-    marks = [
-        ("BUFFER_START", 10), ("PLAYBACK_START", 25), ("BUFFER_END", 30), ("BUFFER_START", 50), ("BUFFER_END", 65),
-        ("SEEKING", 70), ("BUFFER_START", 71), ("SEEKED", 80), ("BUFFER_END", 81),
-    ]
-    df = fx.signals(spark, *marks)
-    path = str(tmp_path / "signals")
+MARKS = [
+    ("BUFFER_START", 10), ("PLAYBACK_START", 25), ("BUFFER_END", 30), ("BUFFER_START", 50), ("BUFFER_END", 65),
+    ("SEEKING", 70), ("BUFFER_START", 71), ("SEEKED", 80), ("BUFFER_END", 81),
+]
+HOUR = 3_600_000
+
+
+def totals_of(df):
+    return {r.playbackSessionId: tuple(r)[1:6] for r in df.select("playbackSessionId", *session_state.TOTALS).collect()}
+
+
+def run_sessions(spark, base, rows):
+    """One portion of signals arrives and a triggered run takes it."""
+    zone, store, totals = (str(base / n) for n in ("signals", "store", "totals"))
+    rows.write.mode("append").parquet(zone)
+    handle = session_state.session_handler(spark, store, totals, width=3)
+    stream = tables.stream_stored(spark, zone, rows.schema)
+    flows.finish(flows.routed_flow(stream, handle, str(base / "c")))
+    return handle, session_state.current_totals(spark, totals)
+
+
+def test_running_sessions_equal_batch(spark, tmp_path):
+    df = fx.signals(spark, *MARKS)
     for part in (F.col("sequenceNumber") < 4, F.col("sequenceNumber") >= 4):
-        df.filter(part).coalesce(1).write.mode("append").parquet(path)
-    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
-    query = (
-        session_state.running_sessions(stream)
-        .writeStream.outputMode("update")
-        .format("memory")
-        .queryName("running")
-        .option("checkpointLocation", str(tmp_path / "c"))
-        .trigger(availableNow=True)
-        .start()
+        _, now = run_sessions(spark, tmp_path, df.filter(part))
+    last = sessions.buffer_timeline(df).orderBy(F.col("sequenceNumber").desc()).first()
+    assert totals_of(now) == {"s": (8, last.totalRebufferMs, last.stallCount, last.startupStallCount, 9)}
+
+
+def test_late_signals_and_long_pauses_count(spark, tmp_path):
+    """A signal two runs late, one a day late, a session that goes on after seven hours, and its own order each time."""
+    other = [("PLAYBACK_START", 5), ("BUFFER_START", 7 * HOUR + 10), ("BUFFER_END", 7 * HOUR + 30), ("BUFFER_START", 40 * HOUR)]
+    whole = fx.signals(spark, *MARKS).unionByName(fx.signals(spark, *other, session="t"))
+    s, t, at = F.col("playbackSessionId") == "s", F.col("playbackSessionId") == "t", F.col("sequenceNumber")
+    portions = [
+        (s & at.isin(0, 3, 4)) | (t & (at == 0)), (s & at.isin(5, 7, 8)) | (t & at.isin(2, 3)), (s & (at == 1)) | (t & (at == 1)),
+        s & at.isin(2, 6),
+    ]
+    seen = None
+    for portion in portions:
+        seen = portion if seen is None else seen | portion
+        handle, now = run_sessions(spark, tmp_path, whole.filter(portion))
+        assert totals_of(now) == totals_of(session_state.session_totals(whole.filter(seen)))
+    assert now.count() == 2
+    handle(whole.filter(portions[-1]), 3)  # a replay of the last run changes nothing
+    assert totals_of(session_state.current_totals(spark, str(tmp_path / "totals"))) == totals_of(session_state.session_totals(whole))
+    handle(whole.limit(0), 4)
+    assert session_state.current_totals(spark, str(tmp_path / "totals")).count() == 2
+
+
+def test_sessions_open_the_days_they_touch(spark, tmp_path):
+    day = 24 * HOUR
+    old = fx.signals(spark, ("PLAYBACK_START", 5), session="old")
+    new = fx.signals(spark, ("PLAYBACK_START", 90 * day), ("BUFFER_START", 90 * day + 5), session="new")
+    run_sessions(spark, tmp_path, old)
+    store = str(tmp_path / "store" / "signal_day=1970-01-01" / "ingest_batch=0")
+    before = [r.modified for r in files.data_files(spark, store).collect()]
+    files.delete(spark, store)  # nothing may need it
+    _, now = run_sessions(spark, tmp_path, new)
+    assert before and set(totals_of(now)) == {"old", "new"}
+
+
+def test_odd_signals(spark, tmp_path):
+    df = fx.signals(spark, *MARKS, session=None)
+    df = df.unionByName(df.limit(1).withColumn("event_timestamp", F.lit(None).cast("bigint")).withColumn("playbackSessionId", F.lit("n")))
+    _, now = run_sessions(spark, tmp_path, df)
+    assert totals_of(now) == totals_of(session_state.session_totals(df)) and set(totals_of(now)) == {None, "n"}
+
+
+@pytest.fixture()
+def mixed_landing(spark, tmp_path):
+    """Date folders of three schemas: as hinted, with an added column, with values of other types."""
+    path = str(tmp_path / "landing")
+    plain = fx.bronze(spark, fx.report()).drop("eventDate", "_rescued_data").coalesce(1)
+    plain.write.parquet(f"{path}/eventDate=2024-01-10")
+    plain.withColumn("cdn", F.lit("edge")).write.parquet(f"{path}/eventDate=2024-01-11")
+    odd = plain.withColumn("player", F.struct(F.lit("two").alias("bufferings"), F.lit(7).alias("bufferingTime")))
+    odd.withColumn("customerId", F.lit(5)).write.parquet(f"{path}/eventDate=2024-01-12")
+    plain.write.mode("append").parquet(f"{path}/eventDate=2024-01-12")
+    return path
+
+
+def test_stream_rescues_like_a_batch(spark, mixed_landing, tmp_path):
+    out = str(tmp_path / "bronze")
+
+    def run():
+        write = flows.table_writer(out, ["eventDate"])
+        flows.finish(flows.ingest_flow(spark, mixed_landing, write, str(tmp_path / "c"), files_per_batch=2))
+        return spark.read.option("mergeSchema", True).parquet(out).drop("ingest_batch")
+
+    assert contents(run()) == contents(landing.read_reports(spark, mixed_landing))
+    rows = {(str(r.eventDate), r.customerId): r for r in run().collect()}
+    assert len(rows) == 4 and '"bufferings":"two"' in rows["2024-01-12", "5"]._rescued_data
+    more = fx.bronze(spark, fx.report(client="late")).drop("eventDate", "_rescued_data").withColumn("asn", F.lit(7))
+    more.write.mode("append").parquet(f"{mixed_landing}/eventDate=2024-01-10")
+    assert contents(run()) == contents(landing.read_reports(spark, mixed_landing)) and "asn" in run().columns
+
+
+def test_audited_ingest(spark, mixed_landing, tmp_path):
+    out = str(tmp_path / "bronze")
+    flows.finish(flows.ingest_flow(spark, mixed_landing, flows.table_writer(out, ["eventDate"]), str(tmp_path / "c"), audit=True))
+    rows = spark.read.option("mergeSchema", True).parquet(out).collect()
+    assert all(r._ingest_timestamp and f"eventDate={r.eventDate}" in r._source_file for r in rows) and len(rows) == 4
+
+
+def test_ledger_looks_at_new_files_only(spark, mixed_landing, tmp_path, monkeypatch):
+    ledger, looked = str(tmp_path / "ledger"), []
+    groups = landing._groups
+    monkeypatch.setattr(landing, "_groups", lambda s, p, parts: (looked.append(len(parts)), groups(s, p, parts))[1])
+    first = contents(landing.read_reports(spark, mixed_landing, ledger))
+    assert first == contents(landing.read_reports(spark, mixed_landing)) and looked[0] == 4
+    looked.clear()
+    assert contents(landing.read_reports(spark, mixed_landing, ledger)) == first and looked == []
+    fx.bronze(spark, fx.report(client="late")).drop("eventDate", "_rescued_data").coalesce(1).write.mode("append").parquet(f"{mixed_landing}/eventDate=2024-01-10")
+    assert len(landing.read_reports(spark, mixed_landing, ledger).collect()) == 5 and looked == [1]
+
+
+def test_many_folders_cost_one_job(spark, tmp_path):
+    path = str(tmp_path / "landing")
+    rows = fx.bronze(spark, *[fx.report(day=date(2024, 1, 1 + n)) for n in range(25)])
+    tables.write_partitioned(rows, path, ["eventDate"])
+    spark.sparkContext.setJobGroup("footers", "")
+    assert len(landing._by_schema(spark, path)) == 1
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("footers")
+    spark.sparkContext.setJobGroup("", "")
+    assert len(jobs) <= 2
+
+
+def test_runs_leave_their_log(spark, landing_path, tmp_path):
+    log = str(tmp_path / "log")
+    bronze = landing.stream_reports(spark, landing_path)
+    flows.finish(flows.silver_flow(bronze, str(tmp_path / "s"), str(tmp_path / "c1")), spark, log)
+
+    def fail(rows, batch_id):
+        raise ValueError("no")
+
+    with pytest.raises(Exception):
+        flows.finish(flows.routed_flow(bronze, fail, str(tmp_path / "c2")), spark, log)
+    found = maintenance.run_history(maintenance.log_table(spark, log), "2030-01-01 00:00:00").collect()
+    assert [(r.state, r.status_icon) for r in found] == [("FAILED", "✗"), ("COMPLETED", "✓")]
+
+
+def test_archive_takes_each_row_once(spark, tmp_path):
+    """A crash between archive and delete, then new faulty rows, then a retry."""
+    quarantine, box = str(tmp_path / "q"), str(tmp_path / "archive")
+    put = lambda *reports: tables.write_partitioned(
+        medallion.quarantine(fx.bronze(spark, *reports)), quarantine, tables.QUARANTINE_PARTITIONS, mode="append"
     )
-    flows.finish(query)
-    last = spark.table("running").filter("NOT expired").orderBy(F.col("lastSequence").desc()).first()
-    batch = sessions.buffer_timeline(df).orderBy(F.col("sequenceNumber").desc()).first()
-    assert (last.totalRebufferMs, last.stallCount, last.startupStallCount) == (
-        batch.totalRebufferMs, batch.stallCount, batch.startupStallCount,
-    )
+    put(fx.report(client="a", count=-1), fx.report(client="b", ms=-5), fx.report(client="keep", count=-1, day=D1))
+    rows = spark.read.parquet(quarantine)
+    done = rows.filter("clientId <> 'keep'")
+    repair._archive(spark, done, box)  # the crash comes before the table shrinks
+    put(fx.report(client="c", count=-1))
+    done = spark.read.parquet(quarantine).filter("clientId <> 'keep'")
+    done = spark.createDataFrame(done.collect(), done.schema)  # the first attempt takes its files away
+    for _ in range(2):
+        assert repair.clean_up(spark, quarantine, done, "archive", True, archive_path=box)
+    assert sorted(r.clientId for r in spark.read.parquet(box).collect()) == ["a", "b", "c"]
+    assert [r.clientId for r in spark.read.parquet(quarantine).collect()] == ["keep"]
+    assert files.subfolders(spark, f"{quarantine}/eventDate=2024-01-10") == []
+
+
+def test_the_table_is_never_moved(spark, tmp_path, monkeypatch):
+    quarantine = str(tmp_path / "q")
+    rows = medallion.quarantine(fx.bronze(spark, fx.report(client="a", count=-1), fx.report(client="b", count=-1, day=D1)))
+    tables.write_partitioned(rows, quarantine, tables.QUARANTINE_PARTITIONS)
+    monkeypatch.setattr(files, "rename", lambda *a: pytest.fail("moved"))
+    before = {r.path: r.modified for r in files.data_files(spark, f"{quarantine}/eventDate=2024-01-01").collect()}
+    assert repair.clean_up(spark, quarantine, rows.filter("clientId = 'a'"), "delete", True)
+    assert [r.clientId for r in spark.read.parquet(quarantine).collect()] == ["b"]
+    assert {r.path: r.modified for r in files.data_files(spark, f"{quarantine}/eventDate=2024-01-01").collect()} == before
