@@ -59,54 +59,55 @@ class Presplitter:
         self.pattern = re.compile("|".join(map(re.escape, longest))) if longest else None
         self.table = classes().copy()
 
-    def words(self, texts: list[str]) -> Iterator[list[list[str]]]:
-        """The words of each text, some texts at a time; a special token is one word, its mark."""
+    def cuts(self, texts: list[str]) -> Iterator[tuple[str, np.ndarray, np.ndarray, int, bool]]:
+        """Some texts at a time: they joined by ``GAP`` with special tokens as their marks, its code points, where
+        words begin (and the end), how many texts it holds and whether the last goes on in the next part."""
         held: list[str] = []
         size = 0
         for text in texts:
-            if size + len(text) > BATCH_CHARS and held:
-                yield self._batch(held)
+            if held and size + len(text) > BATCH_CHARS:
+                yield *self._cut([self._marked(t) for t in held]), len(held), False
                 held, size = [], 0
             if len(text) > BATCH_CHARS:
-                if held:
-                    yield self._batch(held)
-                    held, size = [], 0
-                pieces = _pieces(self._marked(text))
-                yield [[w for piece in pieces for w in self._batch([piece], marked=True)[0]]]
+                pieces = list(_pieces(self._marked(text)))
+                for i, piece in enumerate(pieces, 1):
+                    yield *self._cut([piece]), 1, i < len(pieces)
             else:
                 held.append(text)
                 size += len(text)
         if held:
-            yield self._batch(held)
+            yield *self._cut([self._marked(t) for t in held]), len(held), False
+
+    def words(self, texts: list[str]) -> Iterator[list[list[str]]]:
+        """The words of each text, some texts at a time; a special token is one word, its mark."""
+        gap, begun = chr(GAP), []
+        for whole, _, bounds, n, more in self.cuts(texts):
+            found: list[list[str]] = [begun]
+            for a, b in zip(bounds.tolist(), bounds[1:].tolist()):
+                if n > 1 and whole[a:b] == gap:
+                    found.append([])
+                else:
+                    found[-1].append(whole[a:b])
+            begun = found[-1] if more else []
+            if not more:
+                yield found
 
     def _marked(self, text: str) -> str:
         if self.pattern is not None and any(c in text for c in self.marks):
             return self.pattern.sub(lambda m: self.marks[m[0]], text)
         return text
 
-    def _batch(self, texts: list[str], marked: bool = False) -> list[list[str]]:
-        if not marked:
-            texts = [self._marked(t) for t in texts]
+    def _cut(self, texts: list[str]) -> tuple[str, np.ndarray, np.ndarray]:
         whole = chr(GAP).join(texts)
         if not whole:
-            return [[] for _ in texts]
+            return whole, np.empty(0, np.uint32), np.zeros(1, np.int64)
         points = np.frombuffer(whole.encode("utf-32-le", "surrogatepass"), np.uint32)
         kinds = self.table[points]
         if (kinds == ASK).any():
             for i in np.unique(points[kinds == ASK]).tolist():
                 self.table[i] = self._kind(chr(i))
             kinds = self.table[points]
-        bounds = [*np.flatnonzero(self._starts(points, kinds)).tolist(), len(whole)]
-        words = [whole[a:b] for a, b in zip(bounds, bounds[1:])]
-        if len(texts) == 1:
-            return [words]
-        out, last, gap = [], 0, chr(GAP)
-        for _ in range(len(texts) - 1):
-            end = words.index(gap, last)
-            out.append(words[last:end])
-            last = end + 1
-        out.append(words[last:])
-        return out
+        return whole, points, np.append(np.flatnonzero(self._starts(points, kinds)), len(whole))
 
     def _kind(self, c: str) -> int:
         """An unassigned sign joins a letter, a digit or a sign in the tokenizer's own eyes."""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import hashlib
 import zlib
 from pathlib import Path
@@ -12,6 +13,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from playlens.llm import bpe, presplit, token_counts, token_files
+from playlens.llm import automaton, encoding
 from playlens.llm.bpe import automaton_encoder
 from playlens.llm.encoding import tokenizers_encoder
 
@@ -132,3 +134,34 @@ def test_histogram(documents, bpe_path, library):
     assert whole.count() == 0
     cut = histogram.agg(token_counts.truncated_total(histogram, 3).alias("n")).first().n
     assert cut == sum(min(n, 3) for ns in by.values() for n in ns)
+
+
+def test_words_together_alone_and_in_pieces(bpe_path, library, monkeypatch):
+    """The same ids however words are run: many at a time, one by one, a long one in pieces, the table begun anew."""
+    spec = Path(bpe_path).read_text(encoding="utf-8")
+    made = automaton.TokenAutomaton(spec)
+    draw = random.Random(11)
+    words = ["".join(draw.choice("abcdeorstinühéж ") for _ in range(draw.randrange(1, 90))) for _ in range(400)]
+    words = [w.replace(" ", "") or "a" for w in words]
+    expected = [np.array(library.encode(w, add_special_tokens=False).ids, "<u4").tobytes() for w in words]
+    assert made.encoded(words) == expected
+    monkeypatch.setattr(automaton, "LONG", 0)
+    monkeypatch.setattr(automaton, "PIECE", 7)
+    assert made.encoded(words) == expected
+    states, labels = np.array(draw.choices(range(256, 40_000), k=3000)), np.array(draw.choices(range(256, 40_000), k=3000))
+    assert made.have_arcs(states, labels).tolist() == [made.has_arc(a, b) for a, b in zip(states.tolist(), labels.tolist())]
+
+
+def test_table_of_words_finds_what_was_added():
+    draw = np.random.default_rng(3)
+    table = encoding.WordTable(2000)
+    names = draw.integers(0, 2**63, (2, 1500)).astype(np.uint64)
+    names[0, 1000:] = names[0, :500]  # half of two names is equal
+    names[0, :50] = np.uint64(2**64 - 1)  # probes run over the end
+    for k in range(0, 1500, 500):
+        table.add(names[:, k : k + 500], [np.full(i % 4, i, "<u4").tobytes() for i in range(k, k + 500)])
+    at = table.find(names)
+    assert at.tolist() == list(range(1500))
+    for i in (0, 1, 499, 1003, 1499):
+        assert table.ids[table.begins[i] : table.begins[i] + table.sizes[i]].tolist() == [i] * (i % 4)
+    assert (table.find(draw.integers(0, 2**63, (2, 300)).astype(np.uint64)) == -1).all()
