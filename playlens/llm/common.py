@@ -115,9 +115,21 @@ def _with_totals(df: DataFrame, key: str, values: list[str], ties: list[str], by
     return here.join(above, same).select(*df.columns, *sums)
 
 
-def slices(texts: pa.Array, limit: int, rows: int = 20_000) -> Iterator[tuple[int, int]]:
-    """Cuts a batch into runs of at most ``rows`` rows and about ``limit`` bytes; one long row is a run of its own."""
-    sizes = pc.fill_null(pc.binary_length(texts), 0).to_pylist()
+def freeing(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches; Arrow's unused memory goes back to the system between them, as Python workers
+    live on from task to task and from job to job."""
+    for batch in batches:
+        yield batch
+        pa.default_memory_pool().release_unused()
+
+
+def slices(texts: pa.Array, limit: int, rows: int = 20_000, also: pa.Array | None = None) -> Iterator[tuple[int, int]]:
+    """Cuts a batch into runs of at most ``rows`` rows and about ``limit`` bytes, those of ``also`` counted as
+    well; one long row is a run of its own."""
+    sizes = pc.fill_null(pc.binary_length(texts), 0)
+    if also is not None:
+        sizes = pc.add(sizes.cast(pa.int64()), pc.fill_null(pc.binary_length(also), 0).cast(pa.int64()))
+    sizes = sizes.to_pylist()
     start = total = 0
     for i, size in enumerate(sizes):
         if i > start and (total + size > limit or i - start == rows):

@@ -39,12 +39,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import fresh, ship, slices, written
-from .shingles import distinct, mix, shingles
+from .common import freeing, fresh, ship, slices, written
+from .shingles import HASH_BITS, distinct, mix, shingles
 
 BANDS, ROWS = 25, 5
 SIMILARITY = 0.8
 SLICE_BYTES = 1 << 20
+_SET_BYTES = HASH_BITS // 8
 _STEP, _PLACE = 0x9E3779B97F4A7C15, np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -109,7 +110,7 @@ def _signed(rows: DataFrame, bands: int, rows_per_band: int) -> DataFrame:
     schema = pa.schema([("doc_id", pa.int64()), ("node", pa.binary()), ("n", pa.int32()), ("bands", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in freeing(batches):
             for a, b in slices(batch.column("text"), SLICE_BYTES):
                 sizes, lists = buckets(batch.column("text")[a:b], bands, rows_per_band)
                 yield pa.RecordBatch.from_arrays(
@@ -119,16 +120,28 @@ def _signed(rows: DataFrame, bands: int, rows_per_band: int) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, node binary, n int, bands array<long>")
 
 
+def packed(hashes: np.ndarray) -> bytes:
+    """Hashes of ``HASH_BITS`` bits, six bytes each; sets are most of what is stored and shuffled."""
+    return hashes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :_SET_BYTES].tobytes()
+
+
+def unpacked(data: pa.Buffer) -> np.ndarray:
+    some = np.frombuffer(data, np.uint8).reshape(-1, _SET_BYTES)
+    out = np.zeros((len(some), 8), np.uint8)
+    out[:, :_SET_BYTES] = some
+    return out.view("<u8").reshape(-1)
+
+
 def _shingle_sets(rows: DataFrame) -> DataFrame:
-    """``node`` and ``set``: its distinct shingle hashes, ascending, eight bytes each."""
+    """``node`` and ``set``: its distinct shingle hashes, ascending, six bytes each."""
     schema = pa.schema([("node", pa.binary()), ("set", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in freeing(batches):
             for a, b in slices(batch.column("text"), SLICE_BYTES):
                 text, element, _ = distinct(*shingles(batch.column("text")[a:b]))
                 bounds = np.searchsorted(text, np.arange(b - a + 1)).tolist()
-                sets = [element[x:y].tobytes() for x, y in zip(bounds, bounds[1:])]
+                sets = [packed(element[x:y]) for x, y in zip(bounds, bounds[1:])]
                 yield pa.RecordBatch.from_arrays([batch.column("node")[a:b], pa.array(sets, pa.binary())], schema=schema)
 
     return rows.mapInArrow(run, "node binary, set binary")
@@ -160,10 +173,10 @@ def _compared(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame
         return pivot_n, n, both, linked, gained, some, whole
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for a, b in slices(batch.column("other"), SLICE_BYTES):
+        for batch in freeing(batches):
+            for a, b in slices(batch.column("other"), SLICE_BYTES, 2_000, batch.column("one")):
                 part = batch.slice(a, b - a)
-                view = lambda name: [np.frombuffer(x.as_buffer(), np.uint64) for x in part.column(name)]  # noqa: B023, E731
+                view = lambda name: [unpacked(x.as_buffer()) for x in part.column(name)]  # noqa: B023, E731
                 found = [facts(one, other) for one, other in zip(view("one"), view("other"))]
                 columns = list(zip(*found)) or [()] * 7
                 lists = [[x.astype(np.int64) for x in c] for c in columns[4:]]

@@ -120,7 +120,7 @@ def test_pairs_stay_together_where_groups_merge_in_a_chain(spark, length):
     rows = [(i, names[k], 1 + 10 * k) for i in range(length) for k in (i, i + 1)]
     meetings = spark.createDataFrame(rows, "bucket long, node binary, size long")
     held = [np.arange(50) + 1000 * max(1, i) for i in range(length + 1)]
-    sets = spark.createDataFrame([(n, h.astype(np.uint64).tobytes()) for n, h in zip(names, held)], "node binary, set binary")
+    sets = spark.createDataFrame([(n, near_dups.packed(h)) for n, h in zip(names, held)], "node binary, set binary")
     found = {frozenset((bytes(r.pivot), bytes(r.node))) for r in near_dups.links(meetings, sets, 0.8).collect()}
     assert found == {frozenset(names[:2])}
 
