@@ -32,14 +32,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import fresh, ship, slices, written
+from .common import freeing, fresh, ship, slices, written
 
 SAMPLE_ROWS = 4_000
 CENTROIDS = 3
 LOG_SIZE = 11
 TAIL, SLACK = 0.002, 0.25
 SEEN_LOG_SIZE, SEEN_SLACK, SEEN_TASKS = 20, 0.8, 16
-SLICE_BYTES, SLICE_ROWS = 1 << 20, 500
+SLICE_BYTES, SLICE_ROWS = 1 << 19, 250
 UNKNOWN = "und"
 PREDICTED = ("lang_pred", "score", "rejected")
 
@@ -173,7 +173,7 @@ def learn(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model | None:
     sample = written(sample.repartition(SEEN_TASKS, "h"), "language-sample")
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in freeing(batches):
             for a, b in slices(batch.column("text"), SLICE_BYTES, SLICE_ROWS):
                 found = np.minimum(counts(batch.column("text")[a:b]), 60_000).astype(np.float16)
                 yield pa.RecordBatch.from_arrays(
@@ -198,7 +198,7 @@ def _seen(sample: DataFrame) -> tuple[np.ndarray, dict[str, float]]:
 
     def tables(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         whole = np.zeros(1 << SEEN_LOG_SIZE, np.uint8)
-        for batch in batches:
+        for batch in freeing(batches):
             for a, b in slices(batch.column("text"), SLICE_BYTES, SLICE_ROWS):
                 whole = np.minimum(whole + tally(batch.column("text")[a:b]), 2)
         yield pa.RecordBatch.from_arrays([pa.array([whole.tobytes()], pa.binary())], names=["seen"])
@@ -210,7 +210,7 @@ def _seen(sample: DataFrame) -> tuple[np.ndarray, dict[str, float]]:
     shared = sample.sparkSession.sparkContext.broadcast(table)
 
     def shares(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in freeing(batches):
             for a, b in slices(batch.column("text"), SLICE_BYTES, SLICE_ROWS):
                 found = seen_share(batch.column("text")[a:b], shared.value, 2)  # itself and another one
                 yield pa.RecordBatch.from_arrays([batch.column("lang")[a:b], pa.array(found)], names=["lang", "share"])
