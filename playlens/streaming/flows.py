@@ -47,7 +47,7 @@ def _write_batch(rows: DataFrame, path: str, batch_id: int, partitions: list[str
 
 def _written_rows(spark: SparkSession, schema: T.StructType, path: str, batch_id: int) -> int:
     """Rows in the folders of a micro-batch; a count that parquet answers from its footers."""
-    rows = spark.read.schema(schema.add(BATCH, "int")).parquet(path)
+    rows = spark.read.schema(T.StructType([*schema, T.StructField(BATCH, T.IntegerType())])).parquet(path)
     return tables.row_count(rows.filter(F.col(BATCH) == batch_id))
 
 
