@@ -1341,8 +1341,8 @@ sql(
     "m08_change_history",
     f"""SELECT layer, version, 'WRITE' AS operation, 0 AS rows_updated, 0 AS rows_inserted, rows_out FROM (
       {_PER_BATCH.format('silver')} UNION ALL {_PER_BATCH.format('quarantine')} UNION ALL
-      SELECT 'gold', n, count(DISTINCT customerId || '|' || clientId || '|' || s.eventDate)
-      FROM (SELECT DISTINCT eid % 3 AS n, eventDate FROM exploded) d JOIN silver s ON s.eventDate = d.eventDate AND s.eid % 3 <= n
+      SELECT 'gold', d.portion, count(DISTINCT customerId || '|' || clientId || '|' || s.eventDate)
+      FROM (SELECT DISTINCT eid % 3 AS portion, eventDate FROM exploded) d JOIN silver s ON s.eventDate = d.eventDate AND s.eid % 3 <= d.portion
       GROUP BY 2)""",
 )
 sql("m11_archived", f"SELECT {KEY}, quarantine_reason FROM quarantine q WHERE EXISTS {_DONE}", REPAIR)
