@@ -6,6 +6,7 @@ nothing the Spark side wrote is read here.
 
 from __future__ import annotations
 
+from .. import schemas
 from .lake import AS_OF, AS_OF_MS, AS_OF_TS
 
 DAY = f"DATE '{AS_OF}'"
@@ -1423,3 +1424,48 @@ sql(
       coalesce(nullif(effectiveType, ''), 'unknown') AS connectionType, downlink AS downlinkMbps, rtt AS rttMs FROM sig WHERE {_POSTED}""",
     SIGNALS,
 )
+
+# --- sinks, catalog tables and confirmed jobs -------------------------------------------
+
+_DAYS = "SELECT eventDate, count(*) AS row_count, CAST(sum(total_source_data) AS BIGINT) AS bytes FROM silver GROUP BY 1"
+sql("s07_partitioned_sink", "SELECT eventDate, quarantine_reason, count(*) AS row_count, true AS in_place FROM quarantine GROUP BY ALL")
+sql("s08_clustered_sink", "SELECT eventDate, count(*) AS row_count, true AS is_clustered FROM silver GROUP BY 1")
+for _name in ("s10_backup_copy", "s11_create_like", "s13_temporary_view"):
+    sql(_name, _DAYS)
+sql(
+    "s15_listed_tables",
+    """SELECT unnest(['silver_backup_20240131_000000', 'silver_like', 'silver_documented']) AS tableName, n AS row_count
+    FROM (SELECT count(*) AS n FROM silver)""",
+)
+sql(
+    "s15_described_columns",
+    " UNION ALL ".join(
+        f"""SELECT '{f.name}' AS col_name, '{f.dataType.simpleString()}' AS data_type, '{f.metadata['comment']}' AS comment,
+      count(*) FILTER ({f.name} IS NULL) AS null_count FROM silver"""
+        for f in schemas.SILVER
+    ),
+)
+sql(
+    "s16_table_properties",
+    f"""SELECT 'quality' AS key, 'silver' AS value, count(*) AS row_count FROM silver
+    UNION ALL SELECT 'as_of', '{AS_OF}', NULL""",
+)
+sql("m14_reprocessed_silver", f"SELECT {SILVER} FROM merged", REPAIR)
+sql("m14_reprocessed_gold", "SELECT * FROM regold", REPAIR, gold_over("merged", "regold"))
+sql("t03_full_refresh", f"SELECT {SILVER} FROM silver")
+
+
+def _fixed_check(name: str, message: str) -> str:
+    return f"""SELECT '{name}' AS "check", 'Schema Validation' AS category, 'PASS' AS status, '{message}' AS message, 0e0 AS value"""
+
+
+sql("c02_tables_exist", _fixed_check("Table Existence Check", "All 4 tables exist"))
+sql("c03_bronze_schema", _fixed_check("Bronze Layer Schema Validation", "Bronze schema valid with 9 columns"))
+sql("c04_silver_schema", _fixed_check("Silver Layer Schema Validation", "Silver schema valid with 18 columns"))
+sql(
+    "r37_poor_customers",
+    f"""SELECT count(*) AS customers, count(*) FILTER (score < 40) AS poor_customers,
+      {pct('poor_customers', 'customers')} AS poor_pct, {tier('poor_pct', 10)} AS status
+    FROM (SELECT customerId, {xavg('qos_score')} AS score FROM gold WHERE {since(7)} GROUP BY 1)""",
+    GOLD,
+)

@@ -15,6 +15,7 @@ from ..plans.alerts import row_total
 from ..sources import adapter, batches, landing
 from .lake import AS_OF, AS_OF_MS, AS_OF_TS, Lake, lake
 from .runs import runs
+from .sinks import disjoint_files, rows_in_place, sinks
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -700,6 +701,7 @@ _report("r32_days_behind", lambda k: monitoring.days_behind(layers(k), AS_OF))
 _report("r34_explosion_ratio", lambda k: monitoring.explosion_ratio(k.bronze, k.silver))
 _report("r35_pass_rate", lambda k: monitoring.pass_rate(k.silver, k.quarantine))
 _report("r36_poor_viewers", lambda k: monitoring.poor_viewers(k.gold))
+_report("r37_poor_customers", lambda k: monitoring.poor_customers(k.gold, AS_OF))
 _report("r40_reason_summary", lambda k: faults.reason_summary(k.quarantine, AS_OF))
 _report("r41_fixability", lambda k: faults.fixability(k.quarantine, AS_OF))
 _report("r42_reason_sample", lambda k: faults.reason_sample(k.quarantine, AS_OF))
@@ -731,6 +733,9 @@ _report("r72_consistently_poor", lambda k: dashboards.consistently_poor(k.gold,
 
 # --- contract checks --------------------------------------------------------------------
 
+_report("c02_tables_exist", lambda k: contracts.tables_exist(k.spark, k.paths()))
+_report("c03_bronze_schema", lambda k: contracts.bronze_schema(k.bronze))
+_report("c04_silver_schema", lambda k: contracts.silver_schema(k.silver))
 _report("c05_null_counts", lambda k: contracts.null_counts(medallion.silver_candidates(rows_of(k))))
 _report("c05_not_null", lambda k: contracts.not_null(k.silver))
 _report("c06_value_ranges", lambda k: contracts.value_ranges(k.silver))
@@ -786,6 +791,26 @@ _report(
 )
 
 
+# --- sinks, catalog tables and confirmed jobs -------------------------------------------
+
+
+def _by_day(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("eventDate").agg(row_total("row_count"), F.sum("total_source_data").alias("bytes"))
+
+
+_report("s07_partitioned_sink", lambda k: rows_in_place(k.quarantine))
+_report("s08_clustered_sink", lambda k: disjoint_files(k.silver, ["customerId", "clientId", "timestamp_server"]))
+_report("s10_backup_copy", lambda k: _by_day(k.spark.table(sinks(k).backup)))
+_report("s11_create_like", lambda k: _by_day(k.spark.table(sinks(k).alike)))
+_report("s13_temporary_view", lambda k: sinks(k).viewed())
+_report("s15_listed_tables", lambda k: sinks(k).listed())
+_report("s15_described_columns", lambda k: sinks(k).described())
+_report("s16_table_properties", lambda k: sinks(k).properties())
+_report("m14_reprocessed_silver", lambda k: sinks(k).reprocessed.read("silver").select(*schemas.SILVER.names))
+_report("m14_reprocessed_gold", lambda k: sinks(k).reprocessed.read("gold"))
+_report("t03_full_refresh", lambda k: sinks(k).refreshed.select(*schemas.SILVER.names))
+
+
 @query("a06_merged_sketches")
 def _(lk):
     """Per customer: the union of the daily sketches against the exact count, within four standard errors."""

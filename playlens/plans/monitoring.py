@@ -282,3 +282,13 @@ def poor_viewers(gold: DataFrame, limit: float = 25) -> DataFrame:
     counts = gold.agg(row_total("viewer_days"), F.count_if(F.col("qos_category") == "Poor").alias("poor_viewer_days"))
     rated = counts.withColumn("poor_rate_pct", percent("poor_viewer_days", "viewer_days"))
     return rated.withColumn("status", tier(F.col("poor_rate_pct"), limit))
+
+
+def poor_customers(gold: DataFrame, as_of: str, t: Thresholds = Thresholds()) -> DataFrame:
+    """Share of the week's customers whose mean score is below the threshold.
+
+    Customers without a score count as customers only.  Scores fold per customer first, over whole millionths."""
+    per_customer = gold.filter(on_or_after(as_of, 7)).groupBy("customerId").agg(exact_avg("qos_score").alias("score"))
+    counts = per_customer.agg(row_total("customers"), F.count_if(F.col("score") < t.poor_score).alias("poor_customers"))
+    rated = counts.withColumn("poor_pct", percent("poor_customers", "customers"))
+    return rated.withColumn("status", tier(F.col("poor_pct"), t.poor_customers_pct))

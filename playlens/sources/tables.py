@@ -153,8 +153,10 @@ def create_table(
     )
 
 
-def create_schema(spark: SparkSession, name: str) -> None:
-    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name}")
+def create_schema(spark: SparkSession, name: str, location: str | None = None) -> None:
+    """Schema of that name; ``location`` is the folder of its tables, else one in the warehouse."""
+    place = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name}{place}")
 
 
 def list_tables(spark: SparkSession, schema: str) -> DataFrame:
