@@ -42,8 +42,9 @@ class Lake:
 
     @cached_property
     def bronze(self) -> DataFrame:
+        # the slim events are dealt out by time, so the wide rows are written as they lie
         rows = adapter.bronze_reports(self.events)
-        return self._store("bronze", lambda path: tables.write_partitioned(tables.packed(rows, ["eventDate"]), path, ["eventDate"]))
+        return self._store("bronze", lambda path: tables.write_partitioned(rows, path, ["eventDate"]))
 
     @cached_property
     def silver(self) -> DataFrame:
@@ -70,7 +71,7 @@ class Lake:
     @cached_property
     def signals(self) -> DataFrame:
         rows = adapter.player_signals(self.events)
-        return self._store("signals", lambda path: tables.write_partitioned(tables.packed(rows, ["eventDate"]), path, ["eventDate"]))
+        return self._store("signals", lambda path: tables.write_partitioned(rows, path, ["eventDate"]))
 
     @cached_property
     def bodies(self) -> DataFrame:

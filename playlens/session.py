@@ -14,6 +14,9 @@ JOB_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # a task that writes up to so many partitions keeps their files open in place of sorting its rows,
+    # which are wide and would be spilled
+    "spark.sql.maxConcurrentOutputFileWriters": "64",
 }
 
 
