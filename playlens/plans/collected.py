@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import ellipsis, or_default
 from ..operators.combine import stack
+from ..sources import tables
 from . import sessions
 from .alerts import row_total
 from .sessions import FLUSH, SEQ, SESSION
@@ -95,14 +96,28 @@ def type_counts(events: DataFrame) -> DataFrame:
 #: Signals that listeners act on without posting an event.
 SILENT = ["SEEKING", "SEEKED"]
 
+#: Number of a staged signal, and a hash of its columns, which orders signals of one sequence number and moment.
+ROW, TIE = "_row", "_tie"
+_STATE = [*SESSION, SEQ, "event_timestamp", "eventType"]
+_ERROR = ["errorDetails", "errorType", "fatal"]
+_QUALITY = ["resolution", "bitrateBps", "droppedFrames"]
+_CONTEXT = ["tenantId", "userId", "userAgent", "bandwidthEstimate", "effectiveType", "downlink", "rtt", "currentTimeSec"]
+
 
 def posted_events(signals: DataFrame) -> DataFrame:
     """One JSON event per signal a collector posts, with its batch; errors that are not fatal come as the
-    summary of their batch, which has no sequence number of its own."""
-    flushed = sessions.flushes(signals)
-    timeline = sessions.buffer_timeline(flushed)
+    summary of their batch, which has no sequence number of its own.
+
+    Signals are wide, and every pass over the order of a session sorts them.  So they are staged under
+    row numbers, the passes run over the few columns they need, and the rest is joined once."""
+    numbered = signals.select(
+        *_STATE, *_CONTEXT[:2], *_QUALITY, *_ERROR, *_CONTEXT[2:], F.hash(*signals.columns).alias(TIE), F.monotonically_increasing_id().alias(ROW)
+    )
+    signals = tables.staged(numbered, "posted-signals")
+    flushed = tables.staged(sessions.flushes(signals.select(*_STATE, *_ERROR, TIE, ROW)), "posted-flushes")
+    timeline = sessions.buffer_timeline(flushed.drop(*_ERROR))
     began = sessions.time_to_first_frame(signals)
-    switches = sessions.quality_switches(signals).select(
+    switches = sessions.quality_switches(signals.select(*_STATE, *_QUALITY, TIE)).select(
         *SESSION, SEQ, F.struct("bitrateBps", "resolution", "fromBitrateBps", "fromResolution", "switchDurationMs", "droppedFramesDelta").alias("_quality")
     )
     errors = sessions.classify_errors(signals).select(
@@ -110,6 +125,8 @@ def posted_events(signals: DataFrame) -> DataFrame:
     )
     rows = timeline.join(switches, [*SESSION, SEQ], "left").join(errors, [*SESSION, SEQ], "left").join(began, SESSION, "left")
     kind = F.col("eventType")
+    lone = F.coalesce((kind == "ERROR") & ~F.col("_error.fatal"), F.lit(False)) | kind.isin(SILENT)
+    rows = rows.filter(~lone).join(signals.select(ROW, *_CONTEXT), ROW)
     payload = F.struct(
         F.when(kind == "PLAYBACK_START", F.struct("timeToFirstFrameMs")).alias("startup"),
         F.when(
@@ -133,8 +150,7 @@ def posted_events(signals: DataFrame) -> DataFrame:
         F.struct(F.col("currentTimeSec").alias("currentTimeSec")).alias("playerState"), metrics.alias("playbackQualityMetrics"),
         payload.alias("payload"),
     )
-    lone = F.coalesce((kind == "ERROR") & ~F.col("_error.fatal"), F.lit(False)) | kind.isin(SILENT)
-    single = rows.filter(~lone).select(*FLUSH, F.lit(0).alias("_place"), F.col(SEQ).alias("_order"), F.to_json(event).alias("event"))
+    single = rows.select(*FLUSH, F.lit(0).alias("_place"), F.col(SEQ).alias("_order"), F.to_json(event).alias("event"))
     return stack(single, _summaries(flushed))
 
 

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import checkpoint_root
 from . import files
 
 # Layout keys of the tables.
@@ -175,6 +177,14 @@ def drop_view(spark: SparkSession, name: str) -> bool:
     return spark.catalog.dropTempView(name)
 
 
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to a new folder below the checkpoint folder and read it back: what follows may
+    read it several times and computes it once."""
+    path = f"{checkpoint_root(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def stored(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 

@@ -45,3 +45,35 @@ def test_bronze_and_signals_are_written_as_dealt(spark, few, monkeypatch):
     assert not seen
     configure(spark)
     assert int(spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")) >= 30
+
+
+def test_posted_state_is_worked_out_on_narrow_rows(spark, few, monkeypatch):
+    passes = []
+    for name in ("flushes", "buffer_timeline", "quality_switches"):
+        step = getattr(sessions, name)
+        monkeypatch.setattr(sessions, name, lambda df, *more, step=step: passes.append(df.columns) or step(df, *more))
+    signals = adapter.player_signals(adapter.read_table(spark, few, "events"))
+    posted = collected.posted_events(signals)
+    assert len(passes) == 3 and not any(set(c) & {"userAgent", "tenantId", "rtt"} for c in passes)
+    agents = posted.filter("_place = 0").select(
+        F.get_json_object("event", "$.sequenceNumber").cast("bigint").alias("seq"), F.get_json_object("event", "$.environment.userAgent").alias("agent")
+    )
+    assert dict(agents.collect()) == {r.sequenceNumber: r.userAgent for r in signals.collect() if r.sequenceNumber in dict(agents.collect())}
+    silent = F.col("eventType").isin(collected.SILENT) | ((F.col("eventType") == "ERROR") & ~F.col("fatal"))
+    assert agents.count() == signals.filter(~silent).count()
+
+
+def test_signals_that_come_twice_are_posted_as_before(spark):
+    """Equal signals post one event each; a fatal error or switch that comes twice meets its details twice."""
+    lines = [("PLAYBACK_START", False), ("BUFFER_START", False), ("BUFFER_START", False), ("ERROR", True), ("ERROR", True)]
+    rows = [
+        ("s", min(i, 3) if kind == "ERROR" else min(i, 1), 1000 * min(i, 3), kind, "T", "U", "UA", None, 1, 0, 1.0, "x", "y", fatal, None, None, None, None)
+        for i, (kind, fatal) in enumerate(lines)
+    ]
+    rows[2] = rows[1]
+    names = "playbackSessionId string, sequenceNumber bigint, event_timestamp bigint, eventType string, tenantId string, userId string,"
+    names += " userAgent string, resolution string, bitrateBps bigint, droppedFrames bigint, currentTimeSec double, errorDetails string,"
+    names += " errorType string, fatal boolean, bandwidthEstimate double, effectiveType string, downlink double, rtt double"
+    posted = collected.posted_events(spark.createDataFrame(rows, names))
+    kinds = posted.groupBy(F.get_json_object("event", "$.eventType")).count()
+    assert dict(kinds.collect()) == {"PLAYBACK_START": 1, "BUFFER_START": 2, "ERROR": 4}
