@@ -104,7 +104,8 @@ def _known_groups(spark: SparkSession, path: str, ledger: str) -> list[tuple[T.S
     known = spark.read.schema(LEDGER).parquet(ledger) if files.exists(spark, ledger) else spark.createDataFrame([], LEDGER)
     # a file that was written anew under its old name counts as new
     key = ["path", "length", "modified"]
-    fresh = [r.path for r in found.join(known.select(*key), key, "left_anti").select("path").collect()]
+    # in the order of their writing, in which files of one schema follow each other
+    fresh = [r.path for r in found.join(known.select(*key), key, "left_anti").orderBy("modified", "path").select("path").collect()]
     if fresh:
         rows = [(name, schema.json()) for schema, names in _groups(spark, path, fresh) for name in names]
         added = spark.createDataFrame(rows, "path string, schema string").join(found, "path")

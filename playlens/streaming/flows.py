@@ -62,7 +62,10 @@ def route_batch(
     distinct: str = "approx",
     logged: tuple[str, ...] = ("gold",),
 ) -> Callable[[DataFrame, int], None]:
-    """Both sides of one micro-batch from a single read, then gold for the dates it touched.
+    """Both sides of one micro-batch, then gold for the dates it touched.
+
+    The exploded rows carry whole maps, so they are not kept: each side reads the columns it
+    needs from the micro-batch and explodes them again, in a narrow pass.
 
     Late rows need no watermark: whatever date they carry is refreshed.  The layers named in
     ``logged`` get an entry in the run log with the rows that were written.
@@ -75,22 +78,19 @@ def route_batch(
             )
 
     def handle(bronze: DataFrame, batch_id: int) -> None:
-        rows = medallion.quality_rows(bronze).persist()
-        try:
-            silver = medallion.silver_from_rows(rows, not_null)
-            now = datetime.now(timezone.utc)
-            faults = medallion.quarantine_from_rows(rows)
-            for layer, part, path in (("silver", silver, silver_path), ("quarantine", faults, quarantine_path)):
-                _write_batch(part, path, batch_id, ["eventDate"])
-                if log_path and layer in logged:
-                    log(layer, batch_id, now, _written_rows(spark, part.schema, path, batch_id))
-            dates = merge.dates_of(rows)
-            # Nothing may have reached silver yet, e.g. a first batch with faulty rows only.
-            if files.exists(spark, silver_path) and not silver.isEmpty():
-                gold_rows = merge.refresh_gold_table(spark, gold_path, silver_path, dates, staging, distinct)
-                log("gold", batch_id, datetime.now(timezone.utc), gold_rows)
-        finally:
-            rows.unpersist()
+        rows = medallion.quality_rows(bronze)
+        silver = medallion.silver_from_rows(rows, not_null)
+        now = datetime.now(timezone.utc)
+        faults = medallion.quarantine_from_rows(rows)
+        for layer, part, path in (("silver", silver, silver_path), ("quarantine", faults, quarantine_path)):
+            _write_batch(part, path, batch_id, ["eventDate"])
+            if log_path and layer in logged:
+                log(layer, batch_id, now, _written_rows(spark, part.schema, path, batch_id))
+        dates = merge.dates_of(rows)
+        # Nothing may have reached silver yet, e.g. a first batch with faulty rows only.
+        if files.exists(spark, silver_path) and not silver.isEmpty():
+            gold_rows = merge.refresh_gold_table(spark, gold_path, silver_path, dates, staging, distinct)
+            log("gold", batch_id, datetime.now(timezone.utc), gold_rows)
 
     return handle
 

@@ -47,6 +47,22 @@ def test_bronze_and_signals_are_written_as_dealt(spark, few, monkeypatch):
     assert int(spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")) >= 30
 
 
+def test_a_micro_batch_is_not_kept(spark, tmp_path, monkeypatch):
+    kept = []
+
+    def refresh(*_, **__):
+        kept.append(spark.sparkContext._jsc.sc().getPersistentRDDs().size())
+        return 0
+
+    before = spark.sparkContext._jsc.sc().getPersistentRDDs().size()
+    monkeypatch.setattr(merge, "refresh_gold_table", refresh)
+    handle = flows.route_batch(spark, *[str(tmp_path / n) for n in ("silver", "quarantine", "gold", "staging")])
+    handle(fx.bronze(spark, fx.report(), fx.report(client="U2", count=-1)), 0)
+    assert kept == [before]
+    assert spark.read.parquet(str(tmp_path / "silver")).count() == 1
+    assert spark.read.parquet(str(tmp_path / "quarantine")).count() == 1
+
+
 def test_posted_state_is_worked_out_on_narrow_rows(spark, few, monkeypatch):
     passes = []
     for name in ("flushes", "buffer_timeline", "quality_switches"):
