@@ -49,7 +49,7 @@ class Runs:
 
         for n in range(PORTIONS + 1):
             if n < PORTIONS:
-                tables.write_partitioned(tables.packed(self._portion(n), ["eventDate"]), zone, ["eventDate"], mode="append")
+                tables.write_partitioned(self._portion(n), zone, ["eventDate"], mode="append")
             flows.finish(flows.ingest_flow(self.spark, zone, handle, self.path("checkpoint")), self.spark, log)
         return self
 
@@ -80,8 +80,8 @@ class Runs:
         for n in range(PORTIONS + 1):
             if n < PORTIONS:
                 part = self.lake.signals.filter(F.col("sequenceNumber") % PORTIONS == (2 * n + 1) % PORTIONS)
-                part.write.mode("append").parquet(zone)
-            rows = tables.stream_stored(self.spark, zone, self.lake.signals.schema)
+                part.select(*session_state.NEEDED).write.mode("append").parquet(zone)
+            rows = tables.stream_stored(self.spark, zone, self.lake.signals.select(*session_state.NEEDED).schema)
             flows.finish(flows.routed_flow(rows, handle, self.path("checkpoint-3")))
         return session_state.current_totals(self.spark, self.path("totals"))
 

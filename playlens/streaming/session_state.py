@@ -72,7 +72,8 @@ def session_handler(spark: SparkSession, store: str, totals: str, width: int = C
         # the days are literals, so other folders of the store are not opened
         history = stored.filter(F.col(DAY).between(F.lit(first), F.lit(last)) & (F.col(BATCH) <= batch_id))
         history = history.join(_same_session(new), F.col(SESSION[0]).eqNullSafe(F.col("_session")), "left_semi")
-        found = session_totals(history.select(*NEEDED), width)
+        # every pass over the order reads its input twice
+        found = session_totals(tables.staged(history.select(*NEEDED), "session-history"), width)
         dated = days.select(F.col(SESSION[0]).alias("_session"), "first_day", "last_day")
         found = found.join(dated, F.col(SESSION[0]).eqNullSafe(F.col("_session"))).drop("_session")
         tables.write_partitioned(found.withColumn(BATCH, mark), totals, [BATCH])

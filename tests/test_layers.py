@@ -63,6 +63,21 @@ def test_a_micro_batch_is_not_kept(spark, tmp_path, monkeypatch):
     assert spark.read.parquet(str(tmp_path / "quarantine")).count() == 1
 
 
+def test_session_history_is_found_once(spark, tmp_path, monkeypatch):
+    plans, totals = [], session_state.session_totals
+
+    def watch(signals, width):
+        plans.append(signals._jdf.queryExecution().optimizedPlan().toString())
+        return totals(signals, width)
+
+    monkeypatch.setattr(session_state, "session_totals", watch)
+    handle = session_state.session_handler(spark, str(tmp_path / "store"), str(tmp_path / "totals"))
+    handle(fx.signals(spark, ("BUFFER_START", 1000), ("BUFFER_END", 1500)), 0)
+    assert len(plans) == 1 and "Join" not in plans[0]
+    found = session_state.current_totals(spark, str(tmp_path / "totals")).first()
+    assert (found.totalRebufferMs, found.signal_count) == (500, 2)
+
+
 def test_posted_state_is_worked_out_on_narrow_rows(spark, few, monkeypatch):
     passes = []
     for name in ("flushes", "buffer_timeline", "quality_switches"):
