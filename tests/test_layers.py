@@ -47,6 +47,15 @@ def test_bronze_and_signals_are_written_as_dealt(spark, few, monkeypatch):
     assert int(spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")) >= 30
 
 
+def test_copies_of_layers_are_not_shuffled(spark, few, monkeypatch):
+    lk = Lake(spark, few)
+    layers = [lk.silver, lk.gold]
+    seen = _packed_frames(monkeypatch)
+    done = sinks.Sinks(lk).reprocessed
+    assert not any(df is layer for df in seen for layer in layers)
+    assert done.read("silver").count() >= lk.silver.count()
+
+
 def test_a_micro_batch_is_not_kept(spark, tmp_path, monkeypatch):
     kept = []
 
