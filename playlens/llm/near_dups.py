@@ -13,10 +13,12 @@
    as far up as that leads.  Members linked to the pivot are of one class.  A link
    between members of which one is not linked to the pivot is searched for exactly:
    - If both share a shingle that the pivot lacks, they share one among the first few that each
-     has (in order of hash; how few follows from the similarity).  Members that do form a
+     has (rarest first; how few follows from the similarity).  Members that do form a
      smaller group with pivots of its own, eight times as many, and so on until none is left.
    - If they share none, one is smaller than the pivot and has lost hardly any of the pivot's
-     shingles that the other one has not lost.  A join on the first shingles lost finds them.
+     shingles that the other one has not lost.  A join on the first shingles lost, each at a
+     place that a link allows, finds them.
+   Classes are worked out after each step, and members of one class are not searched for links.
    So every two texts that meet are compared, are in one class, or cannot be a link.
 4. A pair is a link if the Jaccard similarity of its shingle sets is at least 0.8.
 5. Classes are the connected components of links, by repeated minimum labels.
@@ -147,58 +149,71 @@ def _shingle_sets(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "node binary, set binary")
 
 
-COMPARED = "pivot binary, node binary, pivot_n int, n int, both int, linked boolean, gained array<long>, lost_some array<long>, lost_all array<long>"
+COMPARED = "pivot binary, node binary, pivot_n int, n int, both int, linked boolean, keep int, gained array<long>, lost_some array<long>, lost_all array<long>"
 
 
 def _compared(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """Each pair (``pivot``, ``node``) with the sizes of the shingle sets and of what they share,
-    whether it is a link, and the shingles by which the node may meet others:
+    whether it is a link, and, where it is ``wide``, the shingles by which the node may meet others:
 
-    ``gained``: the first of those the pivot lacks.  A text as similar as asked for shares at
-    least similarity * n of the node's shingles, of which the pivot has ``both`` at most.
+    ``gained``: those the pivot lacks.  A text as similar as asked for shares at least
+    similarity * n of the node's shingles, of which the pivot has ``both`` at most, so it shares
+    one of the first ``keep`` of these in any order.
     ``lost_some``: the first of those the node lacks, if it is smaller than the pivot; a partner
     not linked to the pivot has kept fewer than similarity / (1 + similarity) * (pivot_n - n).
-    ``lost_all``: all of those the node lacks, if it is not linked but has little of its own.
+    ``lost_all``: the first of those the node lacks, if it is not linked but has little of its own.
+    Of either, a link whose texts share only what the pivot has needs no more than a share of
+    the node's own size (see ``links``).
     """
 
-    def facts(one: np.ndarray, other: np.ndarray) -> tuple:
+    def facts(one: np.ndarray, other: np.ndarray, wide: bool) -> tuple:
         both = len(np.intersect1d(one, other, assume_unique=True))
         n, pivot_n = len(other), len(one)
         linked = both >= similarity * (n + pivot_n - both)
+        if not wide:
+            return pivot_n, n, both, linked, 0, other[:0], other[:0], other[:0]
         gained = np.setdiff1d(other, one, assume_unique=True)
-        gained = gained[: max(0, len(gained) - max(1, math.ceil(similarity * n - both)) + 1)]
+        keep = max(0, len(gained) - max(1, math.ceil(similarity * n - both)) + 1)
         lost = np.setdiff1d(one, other, assume_unique=True)
-        some = lost[: math.floor(similarity / (1 + similarity) * (pivot_n - n)) + 1] if n < pivot_n else lost[:0]
-        whole = lost if not linked and both >= similarity * n else lost[:0]
-        return pivot_n, n, both, linked, gained, some, whole
+        first = lost[: math.floor((1 - similarity) / similarity * n + 1e-6) + 1]
+        some = first[: math.floor(similarity / (1 + similarity) * (pivot_n - n)) + 1] if n < pivot_n else lost[:0]
+        whole = first if not linked and both >= similarity * n else lost[:0]
+        return pivot_n, n, both, linked, keep, gained if keep else gained[:0], some, whole
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in freeing(batches):
             for a, b in slices(batch.column("other"), SLICE_BYTES, 2_000, batch.column("one")):
                 part = batch.slice(a, b - a)
                 view = lambda name: [unpacked(x.as_buffer()) for x in part.column(name)]  # noqa: B023, E731
-                found = [facts(one, other) for one, other in zip(view("one"), view("other"))]
-                columns = list(zip(*found)) or [()] * 7
-                lists = [[x.astype(np.int64) for x in c] for c in columns[4:]]
+                found = [facts(*x) for x in zip(view("one"), view("other"), part.column("wide").to_pylist())]
+                columns = list(zip(*found)) or [()] * 8
+                lists = [[x.astype(np.int64) for x in c] for c in columns[5:]]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("pivot"), part.column("node"), *[pa.array(c, pa.int32()) for c in columns[:3]],
-                     pa.array(columns[3], pa.bool_()), *[pa.array(c, pa.list_(pa.int64())) for c in lists]],
-                    names=["pivot", "node", "pivot_n", "n", "both", "linked", "gained", "lost_some", "lost_all"],
+                     pa.array(columns[3], pa.bool_()), pa.array(columns[4], pa.int32()), *[pa.array(c, pa.list_(pa.int64())) for c in lists]],
+                    names=["pivot", "node", "pivot_n", "n", "both", "linked", "keep", "gained", "lost_some", "lost_all"],
                 )
 
     # plain merge joins: sets are wide, and broadcasts that come and go with size would hide how it grows
     one = sets.select(F.col("node").alias("pivot"), F.col("set").alias("one")).hint("merge")
     other = sets.select("node", F.col("set").alias("other")).hint("merge")
-    return pairs.join(other, "node").join(one, "pivot").select("pivot", "node", "one", "other").mapInArrow(run, COMPARED)
+    return pairs.join(other, "node").join(one, "pivot").select("pivot", "node", "wide", "one", "other").mapInArrow(run, COMPARED)
 
 
-def _led(members: DataFrame, weights: DataFrame, by: str, leaders: int) -> DataFrame:
+def _labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """Adds the ``label`` of each node: its class as far as links are known, or itself."""
+    return rows.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+
+
+def _led(members: DataFrame, weights: DataFrame, by: str, leaders: int, may=None) -> DataFrame:
     """``by``, ``pivot``, ``node``, ``lead`` (whether it is the first pivot) and ``rest`` (whether the
     node is no pivot): pairs of the ``leaders`` members of the most weight in each group with
-    the members behind them."""
+    the members behind them.  The first pivot is compared with all, the others with those where
+    ``may`` holds; ``pivot_*`` are the pivot's columns in it."""
     order = Window.partitionBy(by).orderBy(F.desc("weight"), F.xxhash64("node"), "node")
     ranked = members.join(weights, "node").withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= leaders)
-    pivots = written(ranked.select(by, F.col("node").alias("pivot"), "rank"), "pivots")
+    own = [F.col(c).alias(f"pivot_{c}") for c in members.columns if c not in (by, "node")]
+    pivots = written(ranked.select(by, F.col("node").alias("pivot"), *own, "rank"), "pivots")
     placed = members
     if leaders > 1:
         placed = members.join(pivots.select(by, F.col("pivot").alias("node"), F.col("rank").alias("own")), [by, "node"], "left")
@@ -206,6 +221,8 @@ def _led(members: DataFrame, weights: DataFrame, by: str, leaders: int) -> DataF
         placed = members.withColumn("own", F.lit(None).cast("int"))
     pairs = placed.join(pivots, by).filter(F.col("own").isNull() | (F.col("own") > F.col("rank")))
     pairs = pairs.filter(F.col("node") != F.col("pivot"))
+    if may is not None:
+        pairs = pairs.filter((F.col("rank") == 1) | may)
     return pairs.select(by, "pivot", "node", (F.col("rank") == 1).alias("lead"), F.col("own").isNull().alias("rest"))
 
 
@@ -233,6 +250,16 @@ def _merged(members: DataFrame, weights: DataFrame) -> DataFrame:
     return moved.filter(F.col("node") != F.col("pivot")).distinct()
 
 
+def _may_link(similarity: float):
+    """Whether a pivot and a node of one group are of two classes so far and, by what each shares
+    with the pivot before and has beside it, differ in few enough shingles for a link."""
+    apart = lambda x, y: F.abs(x - y)
+    both, n, pivot_both, pivot_n = (F.col(c) for c in ("both", "n", "pivot_both", "pivot_n"))
+    least = apart(both, pivot_both) + apart(n - both, pivot_n - pivot_both)
+    most = (1 - similarity) / (1 + similarity) * (n + pivot_n) + 1e-6
+    return (F.col("label") != F.col("pivot_label")) & (least <= most)
+
+
 def links(meetings: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """Links (``pivot``, ``node``) that connect all texts of a class, from ``meetings`` (``bucket``, ``node``, ``size``)."""
     weights = written(meetings.groupBy("node").agg(F.sum("size").alias("weight")), "weights")
@@ -242,19 +269,26 @@ def links(meetings: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     members = members.select(F.xxhash64("pivot").alias("group"), "pivot", "node", F.lit(True).alias("lead"), F.lit(True).alias("rest"))
     found, seen, leaders = [], members.select("group").limit(0), 1
     while True:
-        compared = written(_compared(members.select("pivot", "node").distinct(), sets, similarity), "compared")
+        pairs = members.groupBy("pivot", "node").agg(F.max(F.col("lead") & F.col("rest")).alias("wide"))
+        compared = written(_compared(pairs, sets, similarity), "compared")
         found.append(compared.filter("linked").select("pivot", "node"))
-        groups = members.filter("lead and rest").join(compared, ["pivot", "node"])
-        open_ = groups.groupBy("group").agg(F.count(F.lit(1)).alias("c"), F.count_if(~F.col("linked")).alias("u"))
-        open_ = open_.filter("c > 1 and u > 0").select("group", F.col("c").alias("left"))
-        rows = written(groups.join(open_, "group"), "open-groups")
-
-        share = F.lit(similarity / (1 + similarity))
-        small = rows.select("group", F.col("node").alias("pivot"), F.col("n").alias("small_n"), F.explode("lost_some").alias("e"))
-        other = rows.filter("not linked").select("group", "node", "n", "both", F.explode("lost_all").alias("e"))
-        fits = (F.col("both") >= share * (F.col("n") + F.col("small_n"))) & (F.col("node") != F.col("pivot"))
+        labels = components(reduce(DataFrame.union, found))
+        groups = _labelled(members.filter("lead and rest").join(compared, ["pivot", "node"]), labels)
+        open_ = groups.groupBy("group").agg(F.count(F.lit(1)).alias("left"), (F.min("label") != F.max("label")).alias("several"))
+        rows = written(groups.join(open_.filter("several").select("group", "left"), "group"), "open-groups")
+
+        # linked texts that share only what the pivot has share at least ``least`` of it, so before the first
+        # shingle that both lost, each has lost at most what the other one shares with the pivot beyond that
+        small = rows.select(
+            "group", F.col("node").alias("pivot"), F.col("label").alias("small_label"), F.col("n").alias("small_n"),
+            F.col("both").alias("small_both"), F.posexplode("lost_some").alias("small_place", "e"),
+        )
+        other = rows.filter("not linked").select("group", "node", "label", "n", "both", F.posexplode("lost_all").alias("place", "e"))
+        least = F.lit(similarity / (1 + similarity)) * (F.col("n") + F.col("small_n")) - 1e-6
+        fits = (F.col("both") - F.col("small_place") >= least) & (F.col("small_both") - F.col("place") >= least)
+        fits = fits & (F.col("label") != F.col("small_label"))
         lost = small.join(other, (small["group"] == other["group"]) & (small["e"] == other["e"]) & fits)
-        lost = written(lost.select("pivot", "node").distinct(), "lost-pairs")
+        lost = written(lost.select("pivot", "node", F.lit(False).alias("wide")).distinct(), "lost-pairs")
         found.append(written(_compared(lost, sets, similarity).filter("linked").select("pivot", "node"), "links"))
 
         smaller = _smaller_groups(rows, seen)
@@ -262,37 +296,44 @@ def links(meetings: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
             return reduce(DataFrame.union, found)
         seen = written(seen.union(smaller.select("group").distinct()), "seen-groups")
         leaders *= 8
-        members = written(_led(smaller, weights, "group", leaders), "members")
+        members = written(_led(smaller, weights, "group", leaders, _may_link(similarity)), "members")
 
 
 def _smaller_groups(rows: DataFrame, seen: DataFrame) -> DataFrame:
-    """``group``, ``node`` of the groups to search next, from the members that are left in each.
+    """``group``, ``node``, ``label``, ``n``, ``both`` of the groups to search next, from the members
+    that are left in each.
 
-    Members that share a gained shingle, not all of them linked, are a group.  Where these
+    Members that share a gained shingle, not all of one class so far, are a group.  A member
+    counts for the first ``keep`` of its shingles only: first those that lead to no other class,
+    then the rarest, so that the groups are small.  Where these
     groups would together be at least half the work that the members left are (their sizes
     squared), those stay one group, so the work shrinks with every step.  A group is known by its members: an edit makes several shingles that
     the same texts share, and these are one group; none is searched twice.
     """
     member = F.xxhash64("node", F.lit("member"))
     known = [
-        F.count(F.lit(1)).alias("c"), F.count_if(~F.col("linked")).alias("u"),
+        F.count(F.lit(1)).alias("c"), (F.min("label") != F.max("label")).alias("several"),
         F.bit_xor(member).alias("x"), F.bit_xor(F.xxhash64(member, member)).alias("y"),
     ]
     identity = F.xxhash64("c", "x", "y").alias("id")
-    shared = rows.select(F.col("group").alias("parent"), "left", "node", "linked", F.explode("gained").alias("e"))
-    shared = shared.withColumn("group", F.xxhash64("parent", "e"))
-    several = shared.groupBy("parent", "left", "group").agg(*known).filter("c > 1 and u > 0")
+    own = ["node", "label", "n", "both"]
+    shared = rows.select(F.col("group").alias("parent"), "left", *own, "keep", F.explode("gained").alias("e"))
+    useful = shared.groupBy("parent", "e").agg(F.count(F.lit(1)).alias("often"), (F.min("label") != F.max("label")).alias("several"))
+    place = F.row_number().over(Window.partitionBy("parent", "node").orderBy("several", "often", "e"))
+    shared = shared.join(useful, ["parent", "e"]).withColumn("place", place).filter("place <= keep and several")
+    shared = written(shared.select("parent", "left", *own, F.xxhash64("parent", "e").alias("group")), "shared-shingles")
+    several = shared.groupBy("parent", "left", "group").agg(*known).filter("several")
     several = written(several.groupBy("parent", "left", identity).agg(F.min("group").alias("group"), F.min("c").alias("c")), "shared")
     sizes = several.groupBy("parent", "left").agg(F.sum(F.col("c") * F.col("c")).alias("work"))
     fewer = F.col("work") * 2 <= F.col("left") * F.col("left")
     whole = sizes.filter(~fewer).select(F.col("parent").alias("group"))
     cut = several.join(sizes.filter(fewer).select("parent"), "parent").select("group", "id")
-    uncut = rows.join(whole, "group").select("group", "node", "linked")
+    uncut = rows.join(whole, "group").select("group", *own)
     uncut_id = uncut.groupBy("group").agg(*known).select("group", identity)
     one_each = cut.union(uncut_id).groupBy("id").agg(F.min("group").alias("group"))
     new = written(one_each.join(seen.select(F.col("group").alias("id")), "id", "left_anti").select("group", "id"), "groups")
-    rows = shared.select("group", "node").union(uncut.select("group", "node"))
-    return written(rows.join(new, "group").select(F.col("id").alias("group"), "node"), "group-members")
+    rows = shared.select("group", *own).union(uncut)
+    return written(rows.join(new, "group").select(F.col("id").alias("group"), *own), "group-members")
 
 
 def components(links: DataFrame) -> DataFrame:

@@ -182,3 +182,34 @@ def test_containment_of_very_unequal_texts():
     both, kept = fingerprints.sketch(pa.array([small + " " + " ".join(large)]))
     assert set(kept[0].tolist()) >= set(x.tolist()) | set(y.tolist())
     assert fingerprints.sketch(pa.array([None, ""]))[0] == ["0.0."] * 2
+
+
+def _compared_pairs(spark, monkeypatch, held):
+    """Links of sets that all meet in one bucket, and how many pairs were compared for them."""
+    names, asked = [i.to_bytes(2, "big") for i in range(len(held))], []
+    meetings = spark.createDataFrame([(1, n, 100_000 - i) for i, n in enumerate(names)], "bucket long, node binary, size long")
+    sets = spark.createDataFrame([(n, near_dups.packed(np.sort(h))) for n, h in zip(names, held)], "node binary, set binary")
+    plain = near_dups._compared
+    monkeypatch.setattr(near_dups, "_compared", lambda pairs, *more: (asked.append(pairs.count()), plain(pairs, *more))[1])
+    found = near_dups.links(meetings, sets, 0.8).collect()
+    return {frozenset(int.from_bytes(x, "big") for x in (r.pivot, r.node)) for r in found}, sum(asked)
+
+
+def test_parts_of_a_large_text_are_compared_with_parts_of_their_size(spark, monkeypatch):
+    # all lost the end of the pivot, so any two have lost the same shingles; only the last two are a link
+    whole = np.arange(1, 2401) * 7919
+    parts = [whole[: int(20 * 1.3**k)] for k in range(18)]
+    found, pairs = _compared_pairs(spark, monkeypatch, [whole, *parts, parts[-1][1:]])
+    assert found == {frozenset((18, 19))}
+    assert pairs < 2 * len(parts)
+
+
+def test_a_passage_that_many_share_does_not_pair_them(spark, monkeypatch):
+    # all share a passage with the pivot and another that it lacks; only the last two are a link
+    draw = np.random.default_rng(3)
+    hashes = draw.choice(2**40, 6000, replace=False)
+    first, second, rest = hashes[:40], hashes[40:70], hashes[70:]
+    held = [np.concatenate([first, second, rest[40 * i : 40 * i + 40]]) for i in range(60)]
+    found, pairs = _compared_pairs(spark, monkeypatch, [np.concatenate([first, rest[-80:]]), *held, held[-1][:-1]])
+    assert found == {frozenset((60, 61))}
+    assert pairs < 2 * len(held)
